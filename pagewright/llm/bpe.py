@@ -15,9 +15,10 @@ from __future__ import annotations
 
 import json
 import re
-import struct
+from array import array
 from hashlib import sha256
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,11 @@ from pyspark.sql import functions as F
 from pagewright.llm.common import held
 
 #: Fixed value: the characters with the Unicode property White_Space, which the normalizer turns into spaces.
-WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
+WHITE = re.compile("[\t-\r \u0085   -     　]+")
+#: Characters at which str.split() splits too, though they aren't white space here.
+SEPARATORS = re.compile("[\x1c-\x1f]")
+#: Pieces whose words can be told without the library: Latin-1 letters, then perhaps other ASCII signs but '.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -33,7 +38,7 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 class Model:
     """Merges and vocabulary of a BPE file, and what is worked out from them on demand."""
 
-    def __init__(self, path: str, most_held: int = 400_000):
+    def __init__(self, path: str, most_held: int = 800_000):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -51,7 +56,17 @@ class Model:
         self.longest = max(len(t) for t in self.vocab)
         self.follows: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
-        self.pieces: dict[str, tuple[bytes, str]] = {}
+        self.pieces: dict[str, bytes] = {}
+        #: Whether PLAIN pieces are cut as it says, checked on one that has every character of it; and the characters for bytes.
+        every = "".join(map(chr, [*range(0x41, 0x5B), *range(0x61, 0x7B), *(x for x in range(0xC0, 0x100) if x not in (0xD7, 0xF7))]))
+        kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        others = [x for x in range(0x100) if x not in kept]
+        self.byte = {x: chr(x) for x in kept} | {x: chr(0x100 + k) for k, x in enumerate(others)}
+        signs = "".join(map(chr, [*range(0x21, 0x27), *range(0x28, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]))
+        self.plain = False
+        slow = self.words(every + signs)
+        self.plain = True
+        self.plain = self.words(every + signs) == slow
         self.most_held = most_held
 
     def symbols(self, token: str) -> list[str]:
@@ -86,10 +101,15 @@ class Model:
 
     def last_token(self, path: str, n: int, lasts: list[str], end: str) -> str:
         """The last token of the first n characters, given those of all shorter prefixes (lasts[k]: of k characters)."""
-        for size in range(min(n, self.longest), 0, -1):
-            token = path[n - size : n] + end
-            if token in self.vocab and self.is_whole(token) and (size == n or self.may_follow(lasts[n - size], token)):
-                return token
+        vocab, whole, follows = self.vocab, self.whole, self.follows
+        for at in range(max(0, n - self.longest), n):
+            token = path[at:n] + end
+            if token in vocab and (whole.get(token) or self.is_whole(token)):
+                if not at:
+                    return token
+                known = follows.get((lasts[at], token))
+                if known or known is None and self.may_follow(lasts[at], token):
+                    return token
         raise ValueError(f"no token for {path[n - 1 : n]!r}")
 
     def encode_words(self, words) -> dict[str, list[str]]:
@@ -98,9 +118,13 @@ class Model:
         for word in words:
             node = root
             for c in word:
-                node = node.setdefault(c, {})
+                below = node.get(c)
+                if below is None:
+                    below = node[c] = {}
+                node = below
             node[""] = word
         out: dict[str, list[str]] = {}
+        last_token, end, cut = self.last_token, self.end, len(self.end)
         lasts, path = [""], ""
         todo = [(root, 0, "")]
         while todo:
@@ -108,58 +132,65 @@ class Model:
             if depth:
                 path = path[: depth - 1] + c
                 del lasts[depth:]
-                word = node.get("")
+                word = node.pop("", None)
                 if word is not None:
-                    tokens, at = [self.last_token(path, depth, lasts, self.end)], depth
-                    at -= len(tokens[0]) - len(self.end)
+                    tokens = [last_token(path, depth, lasts, end)]
+                    at = depth + cut - len(tokens[0])
                     while at:
                         tokens.append(lasts[at])
                         at -= len(lasts[at])
-                    out[word] = tokens[::-1]
-                if len(node) > (word is not None):
-                    lasts.append(self.last_token(path, depth, lasts, ""))
-            todo += [(child, depth + 1, c) for c, child in node.items() if c]
+                    tokens.reverse()
+                    out[word] = tokens
+                if node:
+                    lasts.append(last_token(path, depth, lasts, ""))
+            depth += 1
+            for c, below in node.items():
+                todo.append((below, depth, c))
         return out
 
+    def words(self, piece: str) -> list[str]:
+        """The words of a piece without white space, each byte as the character that stands for it."""
+        if self.plain and (m := PLAIN.fullmatch(piece)):
+            letters, signs = m.groups()
+            letters = letters.lower()
+            return [x for x in (letters if letters.isascii() else "".join([self.byte[b] for b in letters.encode()]), signs) if x]
+        normal = self.library.normalizer.normalize_str(piece) if self.library.normalizer else piece
+        return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
+
     def learn(self, pieces: set[str]) -> None:
         """Encode pieces that are not held yet, in bounded portions."""
         if len(self.pieces) > self.most_held:
             self.pieces.clear()
-        todo = [p for p in pieces if p not in self.pieces]
+        todo = list(pieces.difference(self.pieces))
+        vocab = self.vocab
         for k in range(0, len(todo), 20_000):
-            split = {}
-            for p in todo[k : k + 20_000]:
-                normal = self.library.normalizer.normalize_str(p) if self.library.normalizer else p
-                split[p] = [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
+            split = {p: self.words(p) for p in todo[k : k + 20_000]}
             encoded = self.encode_words({w for ws in split.values() for w in ws})
             for p, ws in split.items():
-                tokens = [t for w in ws for t in encoded[w]]
-                self.pieces[p] = (b"".join(struct.pack("<I", self.vocab[t]) for t in tokens), " ".join(tokens))
+                self.pieces[p] = array("I", [vocab[t] for w in ws for t in encoded[w]]).tobytes()
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
-        """Of each text, its ids as little-endian unsigned 32-bit integers, and the text they decode to."""
-        cut = []
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Of each text, its ids as little-endian unsigned 32-bit integers."""
+        cut: list[list] = []
         for text in texts:
             if self.special and "<" in text and self.special_pattern.search(text):
                 parts, at = [], 0
                 for m in self.special_pattern.finditer(text):
-                    parts += [*WHITE.split(text[at : m.start()]), (m[0],)]
+                    parts += [WHITE.split(text[at : m.start()]), m[0]]
                     at = m.end()
-                cut.append([*parts, *WHITE.split(text[at:])])
+                cut.append([*parts, WHITE.split(text[at:])])
             else:
-                cut.append(WHITE.split(text))
-        self.learn({p for parts in cut for p in parts if p and isinstance(p, str)})
+                cut.append([WHITE.split(text) if SEPARATORS.search(text) else text.split()])
+        pieces = {p for runs in cut for run in runs if not isinstance(run, str) for p in run}
+        pieces.discard("")
+        self.learn(pieces)
         known = self.pieces
-        out = []
-        for parts in cut:
-            got = [known[p] if isinstance(p, str) else (struct.pack("<I", self.special[p[0]]), p[0]) for p in parts if p]
-            out.append((b"".join([x[0] for x in got]), " ".join([x[1] for x in got if x[1]])))
-        return out
+        known[""] = b""
+        return [b"".join([array("I", [self.special[run]]).tobytes() if isinstance(run, str) else b"".join(map(known.__getitem__, run)) for run in runs]) for runs in cut]
 
     def decode(self, ids: bytes) -> str:
         """As the library decodes a file that names no decoder: tokens joined by spaces."""
-        token = self.token
-        return " ".join([token[i] for i in struct.unpack(f"<{len(ids) // 4}I", ids)])
+        return " ".join(map(self.token.__getitem__, array("I", ids)))
 
 
 def portions(texts: list[str], most_chars: int = 4_000_000):
@@ -182,7 +213,7 @@ def encode_batches(path: str, make):
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
             for a, b in portions(texts):
-                yield make(ids[a:b], [(x, model.decode(x)) for x, _ in model.encode(texts[a:b])])
+                yield make(ids[a:b], [(x, model.decode(x)) for x in model.encode(texts[a:b])])
 
     return run
 
@@ -191,8 +222,6 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids (list of int) and the decoded text of every document."""
 
     def make(ids, got):
-        import numpy as np
-
         flat = np.frombuffer(b"".join(x for x, _ in got), "<u4").astype(np.int32)
         offsets = np.cumsum([0, *(len(x) // 4 for x, _ in got)]).astype(np.int32)
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(offsets, flat), pa.array([t for _, t in got], pa.string())], ["doc_id", "ids", "decoded"])
