@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm import bpe, language, quality, secret_scan, toxicity
+from pagewright.llm import bpe, decontamination, language, quality, secret_scan, simhash, toxicity
 from pagewright.llm.common import table
 
 
@@ -25,6 +25,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.apply(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.linked(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -38,7 +46,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_toxicity, op6_secret_scan, op8_bpe_encoding, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_toxicity, op4_benchmark_decontamination, op5_simhash_near_dedup, op6_secret_scan, op8_bpe_encoding, op10_quality_rules)}
 
 #: DuckDB SQL where it can express the whole result.  None of these can be: each rests on a model, SHA-256 of spans
 #: found by overlapping rules, or another library's encodings; tests hold them against brute force.
