@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm import bpe, decontamination, language, quality, secret_scan, simhash, toxicity
+from pagewright.llm import bpe, decontamination, language, quality, secret_scan, simhash, toxicity, warc
 from pagewright.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.apply(docs, language.fit(docs))
 
 
+def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.apply(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -46,7 +50,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_toxicity, op4_benchmark_decontamination, op5_simhash_near_dedup, op6_secret_scan, op8_bpe_encoding, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_warc_round_trip, op3_toxicity, op4_benchmark_decontamination, op5_simhash_near_dedup, op6_secret_scan, op8_bpe_encoding, op10_quality_rules)}
 
 #: DuckDB SQL where it can express the whole result.  None of these can be: each rests on a model, SHA-256 of spans
 #: found by overlapping rules, or another library's encodings; tests hold them against brute force.
