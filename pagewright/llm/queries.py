@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm import bpe, decontamination, language, quality, secret_scan, simhash, suffix_dedup, toxicity, warc
+from pagewright.llm import bpe, decontamination, katz, language, quality, secret_scan, simhash, suffix_dedup, toxicity, warc
 from pagewright.llm.common import table
 
 
@@ -41,6 +41,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op7_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -54,7 +58,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_warc_round_trip, op3_toxicity, op4_benchmark_decontamination, op5_simhash_near_dedup, op6_secret_scan, op8_bpe_encoding, op9_suffix_array_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_warc_round_trip, op3_toxicity, op4_benchmark_decontamination, op5_simhash_near_dedup, op6_secret_scan, op7_katz_scoring, op8_bpe_encoding, op9_suffix_array_dedup, op10_quality_rules)}
 
 #: DuckDB SQL where it can express the whole result.  None of these can be: each rests on a model, SHA-256 of spans
 #: found by overlapping rules, or another library's encodings; tests hold them against brute force.
