@@ -21,10 +21,10 @@ from pagewright.llm.common import stored
 NO_ID = -(1 << 63)
 
 
-def packed(*arrays: np.ndarray) -> bytes:
-    """Arrays of numbers, or bytes, in one compressed string."""
-    raw = [a if isinstance(a, bytes) else np.ascontiguousarray(a).tobytes() for a in arrays]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([np.array([len(raw), *map(len, raw)], np.int64).tobytes(), *raw]))
+def packed(*arrays: np.ndarray, level: int = 3) -> bytes:
+    """Arrays of numbers, or bytes, in one compressed string; numbers byte by byte of rank, so that small ones cost little."""
+    raw = [a if isinstance(a, bytes) else np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in arrays]
+    return zstandard.ZstdCompressor(level=level).compress(b"".join([np.array([len(raw), *map(len, raw)], np.int64).tobytes(), *raw]))
 
 
 def unpacked(blob: bytes, *types) -> list:
@@ -33,7 +33,12 @@ def unpacked(blob: bytes, *types) -> list:
     sizes = np.frombuffer(data, np.int64, len(types), 8)
     out, at = [], 8 * (len(types) + 1)
     for size, kind in zip(sizes.tolist(), types):
-        out.append(data[at : at + size] if kind is None else np.frombuffer(data, kind, size // np.dtype(kind).itemsize, at))
+        if kind is None:
+            out.append(data[at : at + size])
+        else:
+            width = np.dtype(kind).itemsize
+            planes = np.frombuffer(data, np.uint8, size, at).reshape(width, -1)
+            out.append(np.ascontiguousarray(planes.T).view(kind).reshape(-1))
         at += size
     return out
 
@@ -56,7 +61,7 @@ class Block:
         return cls(*unpacked(blob, np.int64, np.int64, None))
 
 
-def blocks(docs: DataFrame, block_bytes: int = 6_000_000) -> DataFrame:
+def blocks(docs: DataFrame, block_bytes: int = 4_000_000) -> DataFrame:
     """(block, n_bytes, blob): every document's id and whole text, in blocks of about block_bytes or one longer text."""
 
     def run(batches):

@@ -2,11 +2,11 @@
 
 Only suffixes at sampled places are sorted: those whose next K bytes have the least hash of some window of
 LENGTH - K + 1 places.  Equal strings of LENGTH bytes choose equal places, so each repeat is seen at a suffix
-that both occurrences have in the sample (about one place in 26).
+that both occurrences have in the sample (about one place in 35).
 
 1. Each block of documents sends the hashes at its places; those found once in the corpus are settled.
-2. The other suffixes of a block, with up to LEFT bytes before and LENGTH bytes after the place, become a sorted,
-   front-coded run for each bucket of hashes; of equal ones in a block only the first goes on.
+2. The other suffixes of a block, with the bytes around the place that the strings it stands for cover, become a
+   sorted, front-coded run for each bucket of hashes; of equal ones in a block only the first goes on.
 3. A bucket's runs are merged by a loser tree that keeps the length of the prefix each run's head shares with the
    last suffix put out, and never compares those bytes again.  The merged prefix lengths show the groups of
    suffixes with equal first K bytes.  In each, strings with an earlier occurrence are marked.
@@ -29,9 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm.blocks import Block, blocks, dealt, id_array, packed, unpacked
-from pagewright.llm.common import stored
 
-LENGTH, K = 100, 50
+LENGTH, K = 100, 32
 LEFT = LENGTH - K
 WINDOW = LENGTH - K + 1
 CHUNK = 1 << 19
@@ -62,42 +61,43 @@ def hashes(data: np.ndarray, up: np.ndarray, down: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def sliding(x: np.ndarray, choose) -> np.ndarray:
-    """choose (minimum or maximum) over each WINDOW neighbouring values, by doubling."""
+def sliding_least(x: np.ndarray) -> np.ndarray:
+    """The least of each WINDOW neighbouring values, by doubling."""
     span = 1
     while 2 * span <= WINDOW:
-        x = choose(x[:-span], x[span:])
+        x = np.minimum(x[:-span], x[span:])
         span *= 2
-    return choose(x[: len(x) - (WINDOW - span)], x[WINDOW - span :])
+    return np.minimum(x[: len(x) - (WINDOW - span)], x[WINDOW - span :])
 
 
-def places(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """Sampled places of a block (offsets into its data, ascending) and their hashes."""
+def places(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sampled places of a block (offsets into its data, ascending), their hashes, and for each the first and the last
+    begin of a string of LENGTH bytes within a text whose window has its least hash, leftmost of equals, there.
+
+    Every string has one place, at the same distance from its begin wherever it occurs.
+    """
     data = np.frombuffer(block.data, np.uint8)
     n = len(data)
-    if n < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    up, down = powers(BASE, min(n, CHUNK + 4 * LENGTH)), powers(BACK, min(n, CHUNK + 4 * LENGTH))
-    ends = np.cumsum(block.sizes)
-    out_at, out_h = [], []
-    for start in range(0, n - K + 1, CHUNK):
-        low, high = max(0, start - WINDOW), min(n, start + CHUNK + LENGTH + WINDOW)
-        h = hashes(data[low:high], up, down)
-        short = (h >> np.uint64(32)).astype(np.uint32)
-        if len(short) < WINDOW:
-            continue
-        least = sliding(short, np.minimum)  # of windows that begin at low ...
-        begins = np.arange(low, low + len(least))
-        room = ends[np.searchsorted(ends, begins, "right")] - begins
-        # a place is chosen if it has the least hash of some window inside a text; no hash is below 0, so -1 never is
-        least = np.where(room >= LENGTH, least.astype(np.int64), -1)
-        padded = np.concatenate([np.full(WINDOW - 1, -1), least, np.full(len(short) - len(least), -1)])
-        chosen = np.flatnonzero(sliding(padded, np.maximum)[: len(short)] == short)
-        at = chosen + low
-        own = (at >= start) & (at < start + CHUNK)
-        out_at.append(at[own])
-        out_h.append(h[chosen[own]])
-    return np.concatenate(out_at), np.concatenate(out_h)
+    nothing = np.zeros(0, np.int64)
+    out: list[tuple] = [(nothing, np.zeros(0, np.uint64), nothing, nothing)]
+    if n >= LENGTH:
+        size = min(n, CHUNK + LENGTH)
+        up, down = powers(BASE, size), powers(BACK, size)
+        ends = np.cumsum(block.sizes)
+        for start in range(0, n - LENGTH + 1, CHUNK):
+            h = hashes(data[start : start + CHUNK + LENGTH], up, down)
+            least = sliding_least((h & ~np.uint64(0xFFFFF)) | np.arange(len(h), dtype=np.uint64))[:CHUNK]
+            begin = np.arange(start, start + len(least))
+            inside = ends[np.searchsorted(ends, begin, "right").clip(max=len(ends) - 1)] - begin >= LENGTH
+            begin, at = begin[inside], (least[inside] & np.uint64(0xFFFFF)).astype(np.int64)
+            if len(at):
+                new = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+                out.append((at[new] + start, h[at[new]], begin[new], begin[np.append(new[1:], len(at)) - 1]))
+    at, h, first, last = (np.concatenate(x) for x in zip(*out))
+    if len(at):  # a place may have strings on both sides of a chunk's end
+        new = np.append(True, at[1:] != at[:-1])
+        at, h, first, last = at[new], h[new], first[new], last[np.append(np.flatnonzero(new)[1:], len(new)) - 1]
+    return at, h, first, last
 
 
 def repeated_within(h: np.ndarray) -> np.ndarray:
@@ -130,21 +130,12 @@ def answered(table: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array([n for n, _ in rows], pa.int64()), "shared": pa.array([packed(np.diff(f, prepend=np.uint64(0))) for _, f in rows], pa.binary())})
 
 
-def contexts(data: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """LEFT bytes before and LENGTH bytes from each place, zero beyond its text; and how many are in it on either side."""
-    left, right = np.minimum(at - low, LEFT), np.minimum(high - at, LENGTH)
+def contexts(data: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Bytes around each place: `left` before it, at the end of LEFT bytes, `right` from it on; zero elsewhere."""
     offsets = np.arange(-LEFT, LENGTH)
-    index = at[:, None] + offsets
-    inside = (offsets >= -left[:, None]) & (offsets < right[:, None])
-    out = data[np.clip(index, 0, max(0, len(data) - 1))]
-    out[~inside] = 0
-    return out, left, right
-
-
-def covered(at: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where the strings of LENGTH bytes that lie in these contexts and hold their places begin and end, taken together."""
-    keep = left + right >= LENGTH
-    return (at - left)[keep], (at + right)[keep]
+    out = data[np.clip(at[:, None] + offsets, 0, len(data) - 1)]
+    out[(offsets < -left[:, None]) | (offsets >= right[:, None])] = 0
+    return out
 
 
 def front_coded(right: list[bytes]) -> tuple[np.ndarray, bytes]:
@@ -173,26 +164,24 @@ def runs(buckets: int):
         for number, blob in zip(own.column("block").to_pylist(), own.column("blob").to_pylist()):
             block = Block.of(blob)
             data = np.frombuffer(block.data, np.uint8)
-            at, h = places(block)
+            at, h, begin, last = places(block)
             known = np.concatenate([repeated_within(h), *(np.cumsum(unpacked(x, np.uint64)[0], dtype=np.uint64) for x in answers.column("shared").to_pylist())])
             found = np.isin(h, known)
-            at, h = at[found], h[found]
+            at, h, left, right = at[found], h[found], (at - begin)[found], (last + LENGTH - at)[found]
             ends = np.cumsum(block.sizes)
             text = np.searchsorted(ends, at, "right")
             # the earlier by id, then by place in the block, comes first
             order = np.lexsort((at, text, block.ids[text]))
-            at, h, text = at[order], h[order], text[order]
-            starts = block.starts
+            at, h, text, left, right = at[order], h[order], text[order], left[order], right[order]
             firsts, a, b = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             seen: dict[bytes, int] = {}
             for k in range(0, len(at), 50_000):
-                part = at[k : k + 50_000]
-                c, left, right = contexts(data, part, starts[text[k : k + 50_000]], ends[text[k : k + 50_000]])
-                rows = np.concatenate([c, left[:, None].astype(np.uint8), right[:, None].astype(np.uint8)], 1)
+                part, lo, hi = at[k : k + 50_000], left[k : k + 50_000], right[k : k + 50_000]
+                c = contexts(data, part, lo, hi)
+                rows = np.concatenate([c, lo[:, None].astype(np.uint8), hi[:, None].astype(np.uint8)], 1)
                 again = np.array([seen.setdefault(x.tobytes(), k + j) != k + j for j, x in enumerate(rows)], bool) if len(rows) else np.zeros(0, bool)
-                x, y = covered(part[again], left[again], right[again])
-                a.append(x)
-                b.append(y)
+                a.append((part - lo)[again])
+                b.append((part + hi)[again])
                 firsts.append(np.flatnonzero(~again) + k)
             kinds.append(1)
             keys.append(number)
@@ -341,7 +330,9 @@ def marked(group: np.ndarray, context: np.ndarray, left: np.ndarray, right: np.n
 
 
 def settled(table: pa.Table) -> pa.Table:
-    """Merge a bucket's runs and mark repeats; for each block the places to drop."""
+    """Merge a bucket's runs and mark repeats; for each block the places to drop. What is settled already passes."""
+    if table.column("kind")[0].as_py() == 1:
+        return pa.table({"block": table.column("key"), "spans": table.column("blob")})
     inputs = [Run(k, x) for k, x in enumerate(table.column("blob").to_pylist())]
     n = sum(len(r.shared) for r in inputs)
     source, row, group = np.empty(n, np.int32), np.empty(n, np.int32), np.empty(n, np.int64)
@@ -442,17 +433,16 @@ def _apply(docs: DataFrame, function, schema: str, block_bytes: int, bucket_byte
     total = source.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     buckets = max(8, -(-total // bucket_bytes))
     answers = source.select("block", "blob").mapInArrow(asked(buckets), "bucket long, block long, hashes binary").groupBy("bucket").applyInArrow(answered, "block long, shared binary")
-    found = stored(source.select("block", "blob").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(runs(buckets), "kind int, key long, blob binary"), "suffix-runs")
-    marks = found.where("kind = 0").select(F.col("key").alias("bucket"), "blob").groupBy("bucket").applyInArrow(settled, "block long, spans binary")
-    spans = marks.unionByName(found.where("kind = 1").select(F.col("key").alias("block"), F.col("blob").alias("spans")))
+    found = source.select("block", "blob").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(runs(buckets), "kind int, key long, blob binary")
+    spans = found.groupBy("kind", "key").applyInArrow(settled, "block long, spans binary")
     return source.select("block", "blob").groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(function, schema)
 
 
-def repeats(docs: DataFrame, block_bytes: int = 6_000_000, bucket_bytes: int = 24_000_000) -> DataFrame:
+def repeats(docs: DataFrame, block_bytes: int = 4_000_000, bucket_bytes: int = 8_000_000) -> DataFrame:
     """Counts and the digest of what is left of every document."""
     return _apply(docs, results, SCHEMA, block_bytes, bucket_bytes)
 
 
-def deduplicated(docs: DataFrame, block_bytes: int = 6_000_000, bucket_bytes: int = 24_000_000) -> DataFrame:
+def deduplicated(docs: DataFrame, block_bytes: int = 4_000_000, bucket_bytes: int = 8_000_000) -> DataFrame:
     """doc_id and what is left of every document's text, as bytes: a cut may fall inside a character."""
     return _apply(docs, kept_texts, "doc_id long, text binary", block_bytes, bucket_bytes)
