@@ -69,7 +69,7 @@ def blocks(docs: DataFrame, block_bytes: int = 4_000_000) -> DataFrame:
 
         def close():
             sizes = np.array([len(t) for t in texts], np.int64)
-            blob = packed(np.array(ids, np.int64), sizes, b"".join(texts))
+            blob = packed(np.array(ids, np.int64), sizes, b"".join(texts), level=8)
             return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([size]), pa.array([blob], pa.binary())], ["block", "n_bytes", "blob"])
 
         for batch in batches:

@@ -106,6 +106,13 @@ def histogram(counts: np.ndarray) -> np.ndarray:
     return np.concatenate([few[1 : DISCOUNTED + 2], [counts.sum(), (counts > 0).sum()]]).astype(np.int64)
 
 
+def dealt_sorted(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """As dealt(), ascending in each bucket."""
+    up = np.argsort(hashes)
+    order, cuts = dealt(hashes[up], buckets)
+    return up[order], cuts
+
+
 def ask_words(buckets: int, folds: int, left_out: int):
     """Per block and bucket, distinct words' hashes and their training counts."""
 
@@ -114,9 +121,9 @@ def ask_words(buckets: int, folds: int, left_out: int):
             for number, blob in zip(batch.column("block").to_pylist(), batch.column("blob").to_pylist()):
                 t = Tokens.read(Block.of(blob), folds, left_out)
                 counts = np.bincount(t.of[t.trains], minlength=len(t.hashes))
-                order, cuts = dealt(t.hashes, buckets)
+                order, cuts = dealt_sorted(t.hashes, buckets)
                 full = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-                rows = [packed(t.hashes[order[cuts[b] : cuts[b + 1]]], counts[order[cuts[b] : cuts[b + 1]]].astype(np.uint32)) for b in full]
+                rows = [packed(np.diff(t.hashes[order[cuts[b] : cuts[b + 1]]], prepend=np.uint64(0)), counts[order[cuts[b] : cuts[b + 1]]].astype(np.uint32)) for b in full]
                 yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array([number] * len(full), pa.int64()), pa.array(rows, pa.binary())], ["bucket", "block", "blob"])
 
     return run
@@ -127,7 +134,7 @@ def answer_words(buckets: int):
 
     def run(table: pa.Table) -> pa.Table:
         bucket, numbers = table.column("bucket")[0].as_py(), table.column("block").to_pylist()
-        asked = [unpacked(x, np.uint64, np.uint32) for x in table.column("blob").to_pylist()]
+        asked = [(np.cumsum(h, dtype=np.uint64), c) for h, c in (unpacked(x, np.uint64, np.uint32) for x in table.column("blob").to_pylist())]
         words, back = np.unique(np.concatenate([h for h, _ in asked]), return_inverse=True)
         counts = np.bincount(back, np.concatenate([c for _, c in asked]).astype(float), len(words)).astype(np.int64)
         place = np.empty(len(words), np.int64)
@@ -174,7 +181,7 @@ class Evaluation:
 
     def __init__(self, tokens: Tokens, answers: list[dict[int, bytes]], totals: list[Totals], buckets: int):
         self.tokens, self.answers, self.totals, self.buckets = tokens, answers, totals, buckets
-        order, cuts = dealt(tokens.hashes, buckets)
+        order, cuts = dealt_sorted(tokens.hashes, buckets)
         names, counts = np.zeros(len(tokens.hashes), np.int64), np.zeros(len(tokens.hashes), np.int64)
         for bucket, blob in answers[0].items():
             own = order[cuts[bucket] : cuts[bucket + 1]]
@@ -234,6 +241,11 @@ def evaluation(own: pa.Table, answers: pa.Table, totals, buckets: int, folds: in
         yield Evaluation(Tokens.read(Block.of(blob), folds, left_out), by_order, totals, buckets)
 
 
+def planes(a: np.ndarray) -> bytes:
+    """Numbers of any width, byte by byte of rank."""
+    return np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes()
+
+
 def ask_pairs(n: int, totals, buckets: int, folds: int, left_out: int):
     """Per block and bucket, distinct pairs of order n: contexts, words, training counts, lower probabilities."""
 
@@ -248,7 +260,9 @@ def ask_pairs(n: int, totals, buckets: int, folds: int, left_out: int):
                 part = order[cuts[b] : cuts[b + 1]]
                 if len(part):
                     small = w[part].astype(np.uint32) if int(w[part].max()) < 1 << 32 else w[part]
-                    rows.append(packed(np.diff(c[part], prepend=np.uint64(0)), small, np.array([small.itemsize], np.int64), count[part], lower[part]))
+                    # probabilities repeat: each is sent once, and which it is of every pair
+                    values, which = np.unique(lower[part], return_inverse=True)
+                    rows.append(packed(np.diff(c[part], prepend=np.uint64(0)), planes(small), np.array([small.itemsize], np.int64), count[part], values, which.astype(np.uint32)))
                     at.append(number)
                     to.append(b)
         return pa.table({"bucket": pa.array(to, pa.int64()), "block": pa.array(at, pa.int64()), "blob": pa.array(rows, pa.binary())})
@@ -261,11 +275,11 @@ def answer_pairs(table: pa.Table) -> pa.Table:
     bucket, numbers = table.column("bucket")[0].as_py(), table.column("block").to_pylist()
     contexts, words, counts, lowers = [], [], [], []
     for x in table.column("blob").to_pylist():
-        c, w, wide, n, p = unpacked(x, np.uint64, None, np.int64, np.uint32, np.float64)
+        c, w, wide, n, values, which = unpacked(x, np.uint64, None, np.int64, np.uint32, np.float64, np.uint32)
         contexts.append(np.cumsum(c, dtype=np.uint64))
-        words.append(np.frombuffer(w, np.uint32 if wide[0] == 4 else np.uint64).astype(np.uint64))
+        words.append(np.ascontiguousarray(np.frombuffer(w, np.uint8).reshape(int(wide[0]), -1).T).view(np.uint32 if wide[0] == 4 else np.uint64).reshape(-1).astype(np.uint64))
         counts.append(n)
-        lowers.append(p)
+        lowers.append(values[which])
     cuts = np.cumsum([0, *map(len, contexts)])
     c, w, back = pairs(np.concatenate(contexts), np.concatenate(words))
     count = np.bincount(back, np.concatenate(counts).astype(float), len(c)).astype(np.int64)
@@ -321,7 +335,7 @@ def scores(totals, buckets: int, folds: int, left_out: int):
     return run
 
 
-def score(docs: DataFrame, order: int = 2, folds: int = 7, left_out: int = 2, block_bytes: int = 6_000_000, bucket_bytes: int = 12_000_000) -> DataFrame:
+def score(docs: DataFrame, order: int = 2, folds: int = 7, left_out: int = 2, block_bytes: int = 6_000_000, bucket_bytes: int = 8_000_000) -> DataFrame:
     """Score every whole text by a model of that order, learned from all texts outside the fold left out."""
     source = blocks(docs, block_bytes)
     size = source.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
