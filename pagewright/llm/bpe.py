@@ -13,6 +13,7 @@ empty result.  Pieces of any length are encoded in time linear in their length.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 from array import array
@@ -29,8 +30,9 @@ from pagewright.llm.common import held
 WHITE = re.compile("[\t-\r \u0085   -     　]+")
 #: Characters at which str.split() splits too, though they aren't white space here.
 SEPARATORS = re.compile("[\x1c-\x1f]")
-#: Pieces whose words can be told without the library: Latin-1 letters, then perhaps other ASCII signs but '.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+#: Texts of Latin-1 letters and ASCII signs but ' can be lower-cased and cut by simple means; runs of signs are words there.
+PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ\t-\r !-&(-~]*")
+SIGNS = re.compile(r"[!-&(-/:-@\[-`{-~]+")
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -38,7 +40,7 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 class Model:
     """Merges and vocabulary of a BPE file, and what is worked out from them on demand."""
 
-    def __init__(self, path: str, most_held: int = 800_000):
+    def __init__(self, path: str, most_held: int = 700_000):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -56,18 +58,17 @@ class Model:
         self.longest = max(len(t) for t in self.vocab)
         self.follows: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
+        self.most_held = most_held
+        #: Ids of white-space-free pieces of text.
         self.pieces: dict[str, bytes] = {}
-        #: Whether PLAIN pieces are cut as it says, checked on one that has every character of it; and the characters for bytes.
-        every = "".join(map(chr, [*range(0x41, 0x5B), *range(0x61, 0x7B), *(x for x in range(0xC0, 0x100) if x not in (0xD7, 0xF7))]))
         kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [x for x in range(0x100) if x not in kept]
+        #: The characters that stand for bytes.
         self.byte = {x: chr(x) for x in kept} | {x: chr(0x100 + k) for k, x in enumerate(others)}
-        signs = "".join(map(chr, [*range(0x21, 0x27), *range(0x28, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]))
-        self.plain = False
-        slow = self.words(every + signs)
-        self.plain = True
-        self.plain = self.words(every + signs) == slow
-        self.most_held = most_held
+        #: Whether this file cuts plain texts as we do, tried on every plain character, alone, beside letters and beside signs.
+        every = [chr(x) for x in range(0x21, 0x100) if PLAIN.fullmatch(chr(x))]
+        tried = " ".join([*every, *(f"B{c}b" for c in every), *(f"!{c}?" for c in every), *(f"7{c}7" for c in every)])
+        self.plain = self.plainly(tried) == self.library.encode(tried, add_special_tokens=False).ids
 
     def symbols(self, token: str) -> list[str]:
         """The single symbols that a token is merged from."""
@@ -102,6 +103,15 @@ class Model:
     def last_token(self, path: str, n: int, lasts: list[str], end: str) -> str:
         """The last token of the first n characters, given those of all shorter prefixes (lasts[k]: of k characters)."""
         vocab, whole, follows = self.vocab, self.whole, self.follows
+        # exactly one token is right, so the likeliest are tried first: the last one grown by a character, that character
+        if n > 1:
+            grown = n - 1 - len(lasts[n - 1])
+            token = path[grown:n] + end
+            if whole.get(token) and (not grown or follows.get((lasts[grown], token))):
+                return token
+            token = path[n - 1 : n] + end
+            if whole.get(token) and follows.get((lasts[n - 1], token)):
+                return token
         for at in range(max(0, n - self.longest), n):
             token = path[at:n] + end
             if token in vocab and (whole.get(token) or self.is_whole(token)):
@@ -150,13 +160,17 @@ class Model:
 
     def words(self, piece: str) -> list[str]:
         """The words of a piece without white space, each byte as the character that stands for it."""
-        if self.plain and (m := PLAIN.fullmatch(piece)):
-            letters, signs = m.groups()
-            letters = letters.lower()
-            return [x for x in (letters if letters.isascii() else "".join([self.byte[b] for b in letters.encode()]), signs) if x]
+        if piece.isalpha() and piece.islower() and PLAIN.fullmatch(piece):
+            return [piece if piece.isascii() else "".join([self.byte[b] for b in piece.encode()])]
         normal = self.library.normalizer.normalize_str(piece) if self.library.normalizer else piece
         return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 
+    def plainly(self, text: str) -> list[int]:
+        """The ids of a plain text, cut by simple means."""
+        parts = SIGNS.sub(r" \g<0> ", text.lower()).split()
+        self.learn(set(parts))
+        return list(array("I", b"".join([self.pieces[p] for p in parts])))
+
     def learn(self, pieces: set[str]) -> None:
         """Encode pieces that are not held yet, in bounded portions."""
         if len(self.pieces) > self.most_held:
@@ -165,9 +179,17 @@ class Model:
         vocab = self.vocab
         for k in range(0, len(todo), 20_000):
             split = {p: self.words(p) for p in todo[k : k + 20_000]}
-            encoded = self.encode_words({w for ws in split.values() for w in ws})
+            # a trie has many nodes and no cycles: looking for cycles among them would take longer than the walk
+            collecting = gc.isenabled()
+            gc.disable()
+            try:
+                encoded = self.encode_words({w for ws in split.values() for w in ws})
+            finally:
+                if collecting:
+                    gc.enable()
             for p, ws in split.items():
-                self.pieces[p] = array("I", [vocab[t] for w in ws for t in encoded[w]]).tobytes()
+                tokens = encoded[ws[0]] if len(ws) == 1 else [t for w in ws for t in encoded[w]]
+                self.pieces[p] = array("I", [vocab[t] for t in tokens]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Of each text, its ids as little-endian unsigned 32-bit integers."""
@@ -179,9 +201,15 @@ class Model:
                     parts += [WHITE.split(text[at : m.start()]), m[0]]
                     at = m.end()
                 cut.append([*parts, WHITE.split(text[at:])])
+            elif self.plain and PLAIN.fullmatch(text):
+                cut.append([SIGNS.sub(r" \g<0> ", text.lower()).split()])
             else:
                 cut.append([WHITE.split(text) if SEPARATORS.search(text) else text.split()])
-        pieces = {p for runs in cut for run in runs if not isinstance(run, str) for p in run}
+        pieces: set[str] = set()
+        for runs in cut:
+            for run in runs:
+                if not isinstance(run, str):
+                    pieces.update(run)
         pieces.discard("")
         self.learn(pieces)
         known = self.pieces
