@@ -59,7 +59,7 @@ def hashed(texts: list[list[bytes]], memo: Memo) -> tuple[np.ndarray, np.ndarray
     starts = np.cumsum(sizes) - sizes
     number = np.where(sizes > WIDTH, sizes - WIDTH + 1, np.minimum(sizes, 1))
     total = np.zeros(len(ids), np.uint64)
-    for k in range(WIDTH):
+    for k in range(min(WIDTH, len(ids))):
         total[: len(ids) - k] = total[: len(ids) - k] * ODD + ids[k:]
     cuts = np.cumsum(number) - number
     at = np.arange(number.sum()) - np.repeat(cuts, number) + np.repeat(starts, number)

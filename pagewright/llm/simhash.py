@@ -16,6 +16,7 @@ columns are not read by `linked`; `representatives` keeps them.
 
 from __future__ import annotations
 
+import uuid
 from itertools import accumulate
 
 import numpy as np
@@ -220,7 +221,8 @@ def _homes(batches):
 def representatives(docs: DataFrame, t: int = 3, width: int = WIDTH) -> DataFrame:
     """The documents with all columns, one of each component: that with its least doc_id (any one, if that id repeats)."""
     groups = stored(linked(docs, t, width), "components")
-    keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_doc_id"))
-    out = docs.join(keep.distinct(), F.col("doc_id").eqNullSafe(F.col("kept_doc_id")), "left_semi")
-    repeated = keep.groupBy("kept_doc_id").count().where("count > 1")
+    name = f"kept_{uuid.uuid4().hex}"
+    keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name))
+    out = docs.join(keep.distinct(), F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
+    repeated = keep.groupBy(name).count().where("count > 1")
     return out if repeated.isEmpty() else out.dropDuplicates(["doc_id"])
