@@ -92,10 +92,6 @@ def id_array(ids: np.ndarray) -> pa.Array:
     return pa.array(ids, pa.int64(), mask=ids == NO_ID)
 
 
-def rows(table: pa.Table) -> list[dict]:
-    return table.to_pylist()
-
-
 def dealt(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Order that puts keys into n buckets by their low bits after mixing (stable), and where each bucket begins."""
     bucket = ((keys ^ (keys >> np.uint64(32))) % np.uint64(n)).astype(np.int64)
