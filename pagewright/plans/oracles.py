@@ -20,7 +20,7 @@ ORACLES: dict[str, str] = {
     "furniture_filter": f"""WITH {BLOCKS}, n AS (SELECT *, lower(regexp_replace(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), '\\s+', ' ', 'g')) AS norm, len({WORDS.format('text')}) AS w FROM b),
 f AS (SELECT book_id, norm, count(DISTINCT page_num) AS p FROM n WHERE norm <> '' AND w <= 8 GROUP BY ALL), pages AS (SELECT book_id, count(DISTINCT page_num) AS np FROM b GROUP BY ALL),
 m AS (SELECT n.*, coalesce(f.p / pages.np > 0.2, false) AS repeated, (y0 < 84.2 OR y0 + 12 > 757.8) AS edge FROM n JOIN pages USING (book_id) LEFT JOIN f USING (book_id, norm))
-SELECT book_id, count(*) AS n_kept, sum(length(text)) AS kept_chars FROM m WHERE NOT (norm <> '' AND (regexp_matches(norm, '^(\\(?\\s*concluded\\s*\\)?\\s*$|\\(?\\s*continued\\s*\\)?\\s*$|\\(?\\s*cont''?d?\\s*\\)?\\s*$|\\(?\\s*continuation\\s*\\)?\\s*$|continued\\s+(on|from)\\s+(next|previous)?\\s*page|see\\s+(next|previous)\\s+page|to\\s+be\\s+continued|(table|figure|exhibit)\\s+[\\d.]+\\s*\\(?\\s*(continued|cont''?d?)\\s*\\)?|(page\\s+)?\\d+\\s*$|\\d+\\s*/\\s*\\d+\\s*$|[-–—]\\s*\\d+\\s*[-–—]\\s*$)') OR (edge AND (repeated OR (length(norm) < 4 AND regexp_full_match(norm, '\\d+')))))) GROUP BY book_id""",
+SELECT book_id, count(*) AS n_kept, CAST(sum(length(text)) AS BIGINT) AS kept_chars FROM m WHERE NOT (norm <> '' AND (regexp_matches(norm, '^(\\(?\\s*concluded\\s*\\)?\\s*$|\\(?\\s*continued\\s*\\)?\\s*$|\\(?\\s*cont''?d?\\s*\\)?\\s*$|\\(?\\s*continuation\\s*\\)?\\s*$|continued\\s+(on|from)\\s+(next|previous)?\\s*page|see\\s+(next|previous)\\s+page|to\\s+be\\s+continued|(table|figure|exhibit)\\s+[\\d.]+\\s*\\(?\\s*(continued|cont''?d?)\\s*\\)?|(page\\s+)?\\d+\\s*$|\\d+\\s*/\\s*\\d+\\s*$|[-–—]\\s*\\d+\\s*[-–—]\\s*$)') OR (edge AND (repeated OR (length(norm) < 4 AND regexp_full_match(norm, '\\d+')))))) GROUP BY book_id""",
     "furniture_sample": f"WITH {BLOCKS}, p AS (SELECT DISTINCT book_id, page_num FROM b), q AS (SELECT *, count(*) OVER (PARTITION BY book_id) AS n FROM p) SELECT book_id, count(*) AS n_sampled FROM q WHERE page_num - 1 < 25 OR page_num - 1 >= n - 25 OR (n > 50 AND page_num - 1 BETWEEN n // 2 - 12 AND n // 2 + 12) GROUP BY book_id",
     "math_token_ratio": f"WITH {STRIPPED}, x AS (SELECT *, {WORDS.format('text')} AS w FROM t), r AS (SELECT book_id, block_idx, round({RATIO}, 6) AS ratio, len(w) >= 8 AND {RATIO} < 0.2 AS is_prose FROM x) SELECT * FROM r WHERE ratio > 0 OR is_prose",
     "canonical_key": f"WITH {STRIPPED} SELECT book_id, block_idx, {KEY.format('text')} AS canonical_key FROM t",
