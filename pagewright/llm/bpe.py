@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import held
+from pagewright.llm.common import held, portions
 
 #: Fixed value: the characters with the Unicode property White_Space, which the normalizer turns into spaces.
 WHITE = re.compile("[\t-\r \u0085   -     　]+")
@@ -221,18 +221,6 @@ class Model:
         return " ".join(map(self.token.__getitem__, array("I", ids)))
 
 
-def portions(texts: list[str], most_chars: int = 4_000_000):
-    """Slices of the list with about that many characters each, so that memory does not follow the batch."""
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= most_chars:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def encode_batches(path: str, make):
     """A mapInArrow function: make(ids of rows, encoded texts) gives each output batch."""
 
@@ -240,7 +228,7 @@ def encode_batches(path: str, make):
         model = held(f"bpe {path}", lambda: Model(path))
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
-            for a, b in portions(texts):
+            for a, b in portions(texts, 4_000_000):
                 yield make(ids[a:b], [(x, model.decode(x)) for x in model.encode(texts[a:b])])
 
     return run

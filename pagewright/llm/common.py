@@ -82,3 +82,15 @@ def held(key: str, make):
             _HELD.pop(next(iter(_HELD)))
         _HELD[key] = make()
     return _HELD[key]
+
+
+def portions(texts: list, most: int = 2_000_000):
+    """(begin, end) slices of a batch with about that many characters each, or one longer text: memory follows these, not the batch."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= most:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)

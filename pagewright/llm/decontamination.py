@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import Memo
+from pagewright.llm.common import Memo, portions
 from pagewright.llm.toxicity import CLEAN
 
 WIDTH, SHARE, SLOTS = 5, 0.8, 64
@@ -150,17 +150,6 @@ class Index:
                 yield text, self.ids[item], shared, len(self.shingles[item])
 
 
-def portions(texts: list[list[bytes]], most_words: int = 300_000):
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= most_words:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def item_blocks(benchmark: DataFrame, most_items: int = 20_000):
     """The items in blocks of about most_items, dealt by hash: only one block is on the driver and sent out at a time."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text")).where(F.col("text").isNotNull())
@@ -178,9 +167,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, most_items: int = 20_000
         def run(batches):
             memo = Memo(xxhash.xxh64_intdigest)
             for batch in batches:
-                ids, texts, rows = batch.column("doc_id").to_pylist(), [words(t) for t in batch.column("text").to_pylist()], []
+                ids, texts, rows = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), []
                 for a, b in portions(texts):
-                    rows += [(ids[a + t], i, s, n, s / n) for t, i, s, n in index.matches(texts[a:b], memo)]
+                    rows += [(ids[a + t], i, s, n, s / n) for t, i, s, n in index.matches([words(x) for x in texts[a:b]], memo)]
                     memo.trim()
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.float64() if k == 4 else pa.int64()) for k in range(5)], ["doc_id", "item_id", "n_shared", "n_item", "containment"])
 
@@ -202,10 +191,11 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, most_items: int = 20_
             import pandas as pd
 
             memo = Memo(xxhash.xxh64_intdigest)
-            parts, bad = [words(bytes(t) if t is not None else None) for t in texts], set()
-            for a, b in portions(parts):
-                bad.update(a + t for t, *_ in index.matches(parts[a:b], memo))
-            return pd.Series([k not in bad for k in range(len(parts))], dtype=bool)
+            texts, bad = texts.tolist(), set()
+            for a, b in portions(texts):
+                bad.update(a + t for t, *_ in index.matches([words(bytes(x) if x is not None else None) for x in texts[a:b]], memo))
+                memo.trim()
+            return pd.Series([k not in bad for k in range(len(texts))], dtype=bool)
 
         docs = docs.withColumn(name, F.pandas_udf(clean, "boolean")(F.col("text").cast("binary"))).where(F.col(name)).drop(name)
     return docs

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import fold
+from pagewright.llm.common import fold, portions
 
 BITS = 18
 GRAMS = (2, 3, 4, 5)
@@ -276,25 +276,14 @@ def fit(docs: DataFrame, per_language: int = 400, most_rows: int = 20_000) -> Fi
     return train(sorted((r.text, r.lang) for r in chosen.select("text", "lang").collect()))
 
 
-def portions(texts: list[list[bytes]], most_words: int = 200_000):
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= most_words:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def apply(docs: DataFrame, field: Field) -> DataFrame:
     """The language of every whole text."""
 
     def label(batches):
         labeller = Labeller(field)
         for batch in batches:
-            texts = [tokens(t) for t in batch.column("text").to_pylist()]
-            got = [x for a, b in portions(texts) for x in labeller.documents(texts[a:b])]
+            texts = batch.column("text").to_pylist()
+            got = [x for a, b in portions(texts) for x in labeller.documents([tokens(t) for t in texts[a:b]])]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (fold(F.col("doc_id"), 3) == 1).alias("held_out")).mapInArrow(label, "doc_id long, held_out boolean, lang_pred string, score double")
