@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm import bpe, decontamination, quality, secret_scan, simhash
+from pagewright.llm import bpe, decontamination, near_copies, quality, secret_scan
 from pagewright.llm.common import stored, table
 from pagewright.llm.queries import tokenizer_path
 
@@ -19,8 +19,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of linked fingerprints the document with the least doc_id stays."""
-    return simhash.representatives(docs)
+    """Of each component of texts with a Jaccard similarity of 0.8 or more the document with the least doc_id stays."""
+    return near_copies.representatives(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

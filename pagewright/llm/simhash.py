@@ -218,6 +218,26 @@ def _homes(batches):
         yield pa.RecordBatch.from_arrays([pa.array(cover.home(batch.column("fp").to_numpy(zero_copy_only=False) & MASK))], ["anchor"])
 
 
+def digest(text: str = "text"):
+    """MD5 of a text, null counting as empty: with doc_id it tells the rows of a document from others'."""
+    return F.md5(F.coalesce(F.col(text).cast("binary"), F.lit("").cast("binary")))
+
+
+def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The documents with all columns, one row of each group: that with the least doc_id that isn't null, then the least digest.
+
+    groups: doc_id, digest and root of every document, texts of one digest having one root.
+    """
+    name = uuid.uuid4().hex
+    least = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("m"))
+    keep = stored(least.select(F.col("m.doc_id").alias(f"id_{name}"), F.col("m.digest").alias(f"digest_{name}")), "kept")
+    of = f"of_{name}"
+    out = docs.withColumn(of, digest()).join(keep, (F.col(of) == F.col(f"digest_{name}")) & F.col("doc_id").cast("long").eqNullSafe(F.col(f"id_{name}")), "left_semi")
+    # rows of one id and one text are copies of each other
+    copies = groups.groupBy("doc_id", "digest").count().where("count > 1")
+    return (out if copies.isEmpty() else out.dropDuplicates(["doc_id", of])).drop(of)
+
+
 def representatives(docs: DataFrame, t: int = 3, width: int = WIDTH) -> DataFrame:
     """The documents with all columns, one of each component: that with its least doc_id (any one, if that id repeats)."""
     groups = stored(linked(docs, t, width), "components")
