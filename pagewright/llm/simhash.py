@@ -53,15 +53,17 @@ def fingerprint(text: bytes, width: int = WIDTH) -> bytes:
     return np.packbits(2 * total > len(parts)).tobytes()
 
 
-def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id and fingerprint (as a signed long) of every whole text."""
+def fingerprints(docs: DataFrame, width: int = WIDTH, digests: bool = False) -> DataFrame:
+    """doc_id and fingerprint (as a signed long) of every whole text, and its digest if asked for."""
+    own = ["doc_id", "digest"] if digests else ["doc_id"]
 
     def run(batches):
         for batch in batches:
             got = b"".join([fingerprint(t or b"", width) for t in batch.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.frombuffer(got, ">i8").astype(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in own], pa.array(np.frombuffer(got, ">i8").astype(np.int64))], [*own, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[digest().alias(c) for c in own[1:]], F.col("text").cast("binary").alias("text"))
+    return source.mapInArrow(run, f"doc_id long, {'digest string, ' if digests else ''}fp long")
 
 
 class Cover:
@@ -199,17 +201,22 @@ def compare_sorted(t: int):
 
 def linked(docs: DataFrame, t: int = 3, width: int = WIDTH, most_homes: int = 512) -> DataFrame:
     """doc_id, fingerprint (hex) and component_id of every document."""
-    prints = stored(fingerprints(docs, width), "fingerprints")
+    prints, rooted = _rooted(docs, t, width, most_homes)
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = rooted.join(least.withColumnRenamed("root", "r"), F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id")
+    return prints.join(named, F.col("fp") == F.col("f")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _rooted(docs: DataFrame, t: int, width: int, most_homes: int = 512, digests: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints, and (fp, first, root): of each the least doc_id and the least fingerprint of its component."""
+    prints = stored(fingerprints(docs, width, digests), "fingerprints")
     single = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     cover_home = single.select("fp").mapInArrow(_homes, "anchor long")
     # at most 4,096 rows: one for each first-level anchor
     crowded = [r.anchor for r in cover_home.groupBy("anchor").count().where(F.col("count") > most_homes).collect()]
     rows = anchored(single.select("fp"), t, crowded).repartition("anchor").sortWithinPartitions("anchor", "sent")
     roots = components(rows.mapInArrow(compare_sorted(t), "a long, b long"))
-    rooted = single.join(roots.withColumnRenamed("key", "k"), F.col("fp") == F.col("k"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least.withColumnRenamed("root", "r"), F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id")
-    return prints.join(named, F.col("fp") == F.col("f")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints, single.join(roots.withColumnRenamed("key", "k"), F.col("fp") == F.col("k"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
 
 
 def _homes(batches):
@@ -239,10 +246,6 @@ def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame, t: int = 3, width: int = WIDTH) -> DataFrame:
-    """The documents with all columns, one of each component: that with its least doc_id (any one, if that id repeats)."""
-    groups = stored(linked(docs, t, width), "components")
-    name = f"kept_{uuid.uuid4().hex}"
-    keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name))
-    out = docs.join(keep.distinct(), F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
-    repeated = keep.groupBy(name).count().where("count > 1")
-    return out if repeated.isEmpty() else out.dropDuplicates(["doc_id"])
+    """The documents with all columns, one row of each component, by its root: that with the least doc_id that isn't null."""
+    prints, rooted = _rooted(docs, t, width, digests=True)
+    return one_of_each(docs, stored(prints.join(rooted.withColumnRenamed("fp", "f"), F.col("fp") == F.col("f")).select("doc_id", "digest", "root"), "components"))
