@@ -244,11 +244,10 @@ def page_proximity(spark, d):
 
 @query
 def concept_score(spark, d):
-    """Conversation turns against concepts that share a word of the name or a near page."""
-    t = table(spark, d, "conversations").select("conv_id", "turn", F.lit("").alias("title_text"), F.lower("text").alias("body_text"), (F.col("turn") + 1).cast("int").alias("page_num"))
-    c = concept_table(spark, d)
-    near = t.withColumn("page", F.explode(F.sequence(F.col("page_num") - 1, F.col("page_num") + 1))).join(c.withColumn("page", F.col("pages")[0]), "page")
-    return concepts.scored(near).select("conv_id", "turn", "concept_id", F.round("score", 6).alias("score"), "method").where("score > 0")
+    """Conversation turns against concepts that share a word or letters of the name or a near page: all that score."""
+    t = table(spark, d, "conversations").select(F.struct("conv_id", "turn").alias("segment_id"), F.lit("").alias("title_text"), F.lower("text").alias("body_text"), (F.col("turn") + 1).cast("int").alias("page_num"))
+    pairs = concepts.candidate_pairs(t, concept_table(spark, d))
+    return concepts.scored(pairs).select("segment_id.conv_id", "segment_id.turn", "concept_id", F.round("score", 6).alias("score"), "method").where("score > 0")
 
 
 @query

@@ -1,0 +1,15 @@
+"""concept_score gives every pair of a turn and a concept that scores."""
+
+from pyspark.sql import functions as F
+
+from pagewright.operators import concepts
+from pagewright.plans.driver_queries import QUERIES, concept_table, table
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_every_pair_that_scores_is_returned(spark):
+    t = table(spark, SF, "conversations").select("conv_id", "turn", F.lit("").alias("title_text"), F.lower("text").alias("body_text"), (F.col("turn") + 1).cast("int").alias("page_num"))
+    full = concepts.scored(t.crossJoin(concept_table(spark, SF))).where("score > 0").select("conv_id", "turn", "concept_id", F.round("score", 6).alias("score"), "method")
+    got = QUERIES["concept_score"](spark, SF)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, full.collect()), key=repr)
