@@ -4,7 +4,8 @@ Items are partitioned by the number of their distinct shingles, in powers of two
 document is cut into windows of up to four times an item's size, overlapping by half, and each window gets
 MinHash values; within a window, an item of that partition that is contained in the document has a Jaccard
 similarity of at least 0.19 if it lies together.  One equal value of 64 makes the document a candidate for the
-item (missed with probability 1e-6; scattered passages are about as likely to be met).  Candidates are verified
+item (missed with probability 1e-6; scattered passages are about as likely to be met).  Items of up to three
+shingles are contained only whole, so they are looked up by one of their hashes and never missed.  Candidates are verified
 on the shingles themselves: at least 0.8 of the item's distinct shingles must be in the whole document.
 
 Shingles are of five words, without case and ASCII signs; a shorter text's only shingle is all its words.
@@ -27,6 +28,8 @@ from pagewright.llm.common import Memo, portions
 from pagewright.llm.toxicity import CLEAN
 
 WIDTH, SHARE, SLOTS = 5, 0.8, 64
+#: Items of so many shingles must be contained whole to reach SHARE.
+SHORT = 3
 SCHEMA = "doc_id long, item_id long, n_shared long, n_item long, containment double"
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -82,12 +85,20 @@ class Index:
         self.added = rng.integers(0, 1 << 63, SLOTS).astype(np.uint64)
         memo = Memo(lambda w: xxhash.xxh64_intdigest(w))
         by_class: dict[int, list[tuple[int, np.ndarray]]] = {}
+        short: list[tuple[np.uint64, int]] = []
         for item_id, text in items:
             parts = words(text)
             if found := shingles(parts):
-                by_class.setdefault(max(2, len(found).bit_length() - 1), []).append((len(self.ids), hashed([parts], memo)[0]))
+                h = hashed([parts], memo)[0]
+                if len(found) <= SHORT:
+                    short.append((h.min(), len(self.ids)))
+                else:
+                    by_class.setdefault(len(found).bit_length() - 1, []).append((len(self.ids), h))
                 self.ids.append(item_id)
                 self.shingles.append(found)
+        short.sort()
+        #: least hash of each short item, sorted, and the items
+        self.short = np.array([x for x, _ in short], np.uint64), [k for _, k in short]
         #: partition: (slot values sorted, their items, a table of low 16 bits that occur), for each slot
         self.parts: dict[int, list] = {}
         for c, rows in by_class.items():
@@ -105,10 +116,15 @@ class Index:
         return x ^ (x >> np.uint64(32))
 
     def candidates(self, h: np.ndarray, cuts: np.ndarray) -> set[tuple[int, int]]:
-        """(text, item) pairs of which a window shares a MinHash value with an item of its partition."""
+        """(text, item) pairs of which a window shares a MinHash value with an item of its partition, or the text a short item's hash."""
         found: set[tuple[int, int]] = set()
         classes = sorted(self.parts)
         number = np.diff(cuts)
+        if len(self.short[0]):
+            left, right = (np.searchsorted(self.short[0], h, side) for side in ("left", "right"))
+            at = np.flatnonzero(left < right)
+            for text, a, b in zip(np.repeat(np.arange(len(number)), number)[at], left[at], right[at]):
+                found.update((int(text), k) for k in self.short[1][a:b])
         if not classes or not number.sum():
             return found
         layers = []  # of each partition: owner of each block, and the starts in the layer below
