@@ -42,7 +42,7 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz.score(table(spark, sf_dir, "documents"))
+    return katz.score(table(spark, sf_dir, "documents"), order=3)
 
 
 def op8_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
