@@ -3,7 +3,8 @@
 Base patterns (assignments of secrets, access keys, long hexadecimal runs) are matched leftmost and
 without overlap per kind.  Candidate strings are also slid over by a window whose entropy is kept by
 incremental counts; windows over a class's limit, merged, are spans of kind `entropy`, unless the
-string is on the allow-list.  Positions count code points; ends are exclusive.
+string is on the allow-list.  A window's limit is that of the class of the characters it holds, so that
+hexadecimal digits joined to a name are judged as such.  Positions count code points; ends are exclusive.
 
 A null text counts as empty: no spans.  Repeated rows give repeated results, an empty table an empty
 one.  Texts of any length are read whole, in time linear in their length.  Other columns aren't read
@@ -34,9 +35,11 @@ WINDOW = 20
 #: Least bits of entropy of a window by class.  Of 20 random digits of base 16 nearly all windows have 2.9, of base 64 3.6.
 LIMITS = {"hex": 2.9, "base64": 3.6}
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW)
-CLASSES = (("hex", re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")), ("base64", re.compile(r"[A-Za-z0-9+/_=-]+\Z")))
-#: Strings that look random but are no secrets: one kind of letters or digits, words joined by - or _, paths of words, UUIDs.
-ALLOWED = re.compile(r"(?:[A-Za-z]+|[0-9]+|[A-Za-z]*(?:[-_/=+]+[A-Za-z]*)+[0-9]{0,4}|[0-9]*(?:[-_/=+]+[0-9]*)+|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12})\Z")
+#: Characters that no hexadecimal string in small, or in capital letters holds.
+NOT_SMALL, NOT_CAPITAL = (frozenset("ghijklmnopqrstuvwxyzGHIJKLMNOPQRSTUVWXYZ+/_=-" + other) for other in ("ABCDEF", "abcdef"))
+#: Strings that look random but are no secrets: one kind of letters or digits, words joined by - or _, paths of words,
+#: numbers joined likewise, UUIDs.  No part can begin where another repeats, so matching takes time linear in the length.
+ALLOWED = re.compile(r"(?:[A-Za-z]+|[0-9]+|[A-Za-z]*[-_/=+][A-Za-z_/=+-]*[0-9]{0,4}|[0-9]*[-_/=+][0-9_/=+-]*|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12})\Z")
 
 #: n log2 n for counts in a window.
 TERM = [0.0] + [n * log2(n) for n in range(1, WINDOW + 1)]
@@ -44,21 +47,26 @@ TERM = [0.0] + [n * log2(n) for n in range(1, WINDOW + 1)]
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
 
 
-def high_entropy(string: str, limit: float) -> list[tuple[int, int]]:
-    """Merged windows of the string with at least that entropy; each step changes two counts."""
+def high_entropy(string: str, limit: float, wider: float | None = None) -> list[tuple[int, int]]:
+    """Merged windows of the string with at least that entropy, or `wider` where a window isn't hexadecimal; each step changes two counts."""
     counts: dict[str, int] = {}
-    total, found = 0.0, []
+    total, found, others = 0.0, [], [0, 0]
     bound = WINDOW * (log2(WINDOW) - limit) + 1e-9
+    bound_wide = bound if wider is None else WINDOW * (log2(WINDOW) - wider) + 1e-9
     for end, c in enumerate(string, 1):
-        n = counts.get(c, 0)
-        total += TERM[n + 1] - TERM[n]
-        counts[c] = n + 1
-        if end > WINDOW:
+        if end > WINDOW:  # what leaves goes first: no count is ever above WINDOW
             old = string[end - WINDOW - 1]
             n = counts[old]
             total += TERM[n - 1] - TERM[n]
             counts[old] = n - 1
-        if end >= WINDOW and total <= bound:
+            others[0] -= old in NOT_SMALL
+            others[1] -= old in NOT_CAPITAL
+        n = counts.get(c, 0)
+        total += TERM[n + 1] - TERM[n]
+        counts[c] = n + 1
+        others[0] += c in NOT_SMALL
+        others[1] += c in NOT_CAPITAL
+        if end >= WINDOW and total <= (bound_wide if others[0] and others[1] else bound):
             if found and found[-1][1] >= end - WINDOW:
                 found[-1] = (found[-1][0], end)
             else:
@@ -70,10 +78,8 @@ def entropy_spans(text: str) -> list[tuple[int, int]]:
     out = []
     for m in CANDIDATE.finditer(text):
         string = m[0]
-        if string.isalpha() or ALLOWED.match(string):
-            continue
-        name = next(n for n, p in CLASSES if p.match(string))
-        out += [(m.start() + a, m.start() + b) for a, b in high_entropy(string, LIMITS[name])]
+        if not (string.isalpha() or ALLOWED.match(string)):
+            out += [(m.start() + a, m.start() + b) for a, b in high_entropy(string, LIMITS["hex"], LIMITS["base64"])]
     return out
 
 
