@@ -14,7 +14,6 @@ given; an empty table gives an empty result; rows with a null lang teach nothing
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +27,6 @@ BITS = 18
 GRAMS = (2, 3, 4, 5)
 MARK = 10
 BLOCK = 32
-LETTER = re.compile(r"[^\W\d_]")
 ASCII_LETTERS = bytes(c for c in range(256) if 65 <= c <= 90 or 97 <= c <= 122 or c >= 128)
 
 
@@ -40,7 +38,7 @@ def lettered(word: bytes) -> bool:
     """Whether the word has a letter of any script."""
     if word.isascii():
         return word.translate(None, ASCII_LETTERS) != word
-    return LETTER.search(word.decode("utf-8", "replace")) is not None
+    return any(map(str.isalpha, word.decode("utf-8", "replace")))
 
 
 def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -268,12 +266,31 @@ class Labeller:
         return out
 
 
-def fit(docs: DataFrame, per_language: int = 400, most_rows: int = 20_000) -> Field:
-    """Learn from at most per_language whole texts of each lang, those whose ids hash lowest, outside fold 1 of 3."""
-    rows = docs.where((fold(F.col("doc_id"), 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    chosen = rows.withColumn("place", F.row_number().over(first)).where(F.col("place") <= per_language).orderBy("place", "lang").limit(most_rows)
-    return train(sorted((r.text, r.lang) for r in chosen.select("text", "lang").collect()))
+def chosen(rows: DataFrame, per_language: int, most_rows: int, most_bytes: int, salts: int = 64) -> DataFrame:
+    """h, lang and place of the rows to learn from: narrow, at most most_rows.
+
+    Ranks are taken over ids, first in parts of a language, then over what the parts leave; no text is moved for that.
+    A row counts while those before it in its language have under most_bytes of text, and if it has no more itself.
+    """
+    part = Window.partitionBy("lang", F.pmod("h", F.lit(salts))).orderBy("h")
+    whole = Window.partitionBy("lang").orderBy("h")
+    narrow = rows.select("h", "lang", F.octet_length("text").alias("n")).where(F.col("n") <= most_bytes)
+    first = narrow.withColumn("place", F.row_number().over(part)).where(F.col("place") <= per_language)
+    first = first.withColumn("place", F.row_number().over(whole)).where(F.col("place") <= per_language)
+    first = first.withColumn("before", F.sum("n").over(whole.rowsBetween(Window.unboundedPreceding, -1))).where(F.coalesce("before", F.lit(0)) < most_bytes)
+    return first.orderBy("place", "lang").limit(most_rows).select("h", "lang")
+
+
+def fit(docs: DataFrame, per_language: int = 400, most_rows: int = 20_000, most_bytes: int = 4_000_000) -> Field:
+    """Learn from at most per_language whole texts of each lang, those whose hashes are lowest, outside fold 1 of 3.
+
+    They have at most 2 * most_bytes bytes a language: what the driver holds has that bound for each of the at most
+    most_rows / per_language languages that are learned in full.
+    """
+    rows = docs.where((fold(F.col("doc_id"), 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.xxhash64("doc_id", "lang", "text").alias("h"), "lang", "text")
+    keys = F.broadcast(chosen(rows, per_language, most_rows, most_bytes).distinct().withColumnsRenamed({"h": "k", "lang": "l"}))
+    got = rows.join(keys, (F.col("h") == F.col("k")) & (F.col("lang") == F.col("l")), "left_semi").dropDuplicates(["h", "lang"])
+    return train(sorted((r.text, r.lang) for r in got.select("text", "lang").collect()))
 
 
 def apply(docs: DataFrame, field: Field) -> DataFrame:
