@@ -68,7 +68,7 @@ WORDS = "list_filter(string_split(regexp_replace(translate(coalesce(text, ''), '
 ORACLE_SQL: dict[str, str] = {
     "op2_warc_round_trip": """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), d AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha1(h) AS s, max(page_id) OVER (PARTITION BY h) AS m FROM p)
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(s, CAST(k // 4 * 5 + 1 AS INT), 5) AS INT) >> CAST(15 - k % 4 * 5 AS INT)) & 31 AS INT) + 1, 1)), '') AS payload_digest,
-CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> m THEN m END AS refers_to FROM d""",
+CASE WHEN page_id IS DISTINCT FROM m THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id IS DISTINCT FROM m THEN m END AS refers_to FROM d""",
     "op4_benchmark_decontamination": f"""WITH q AS (SELECT item_id, {WORDS} AS w FROM benchmark), d AS (SELECT doc_id, {WORDS} AS w FROM documents),
 qs AS (SELECT DISTINCT item_id, unnest(CASE WHEN len(w) <= 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) END) AS g FROM q WHERE len(w) > 0),
 ds AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) <= 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) END) AS g FROM d WHERE len(w) > 0),

@@ -168,7 +168,9 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
                         rows.append((int(h["X-Page-Id"]) if h["X-Page-Id"] else None, size, name, kind, int(refers) if refers else None))
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()))], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    return manifest.select("path").repartition("path").mapInArrow(load, SCHEMA)
+    # a number of its own keeps small manifests in as many tasks as there are archives
+    tasks = min(max(1, manifest.count()), 20_000)
+    return manifest.select("path").repartition(tasks, "path").mapInArrow(load, SCHEMA)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
