@@ -1,10 +1,12 @@
 """What the fitted operators learn from, and plain computations of what they learn."""
 
+import math
 import random
 
+import numpy as np
 import pytest
 
-from pagewright.llm import language
+from pagewright.llm import language, quality
 from tests.llm.test_operators import DOCS, odd  # noqa: F401
 
 
@@ -32,3 +34,52 @@ def test_sample_is_bounded_and_the_same_for_any_partitioning(spark):
         if lang != "cc":
             lowest = sorted(r.h for r in frame.where(F.col("lang") == lang).collect() if size[r.h] <= 3000)
             assert own == lowest[: len(own)]
+
+
+def test_path_lengths_match_a_walk_through_each_tree():
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(0, 1, (300, 5)), rng.normal(9, 1, (4, 5)), np.zeros((30, 5))])
+    forest, seen = quality.Forest.grow(x, 20, 64, 3, (0, 3))
+    assert seen.sum(1).tolist() == [64] * 20
+    harmonic = lambda n: sum(1 / k for k in range(1, n + 1))
+    usual = lambda n: 2 * harmonic(n - 1) - 2 * (n - 1) / n if n > 1 else 0
+    got, unseen = forest.scores(x), forest.scores(x, seen)
+    for row in (0, 5, 299, 301, 303, 310):
+        paths = []
+        for t in range(20):
+            inside, node, depth = seen[t].copy(), 0, 0
+            while (f := forest.feature[t, node]) >= 0:
+                right = x[row, (0, 3)[f]] >= forest.value[t, node]
+                inside &= (x[:, (0, 3)[f]] >= forest.value[t, node]) == right
+                node, depth = 2 * node + 1 + right, depth + 1
+            paths.append(depth + usual(int(inside.sum())))
+        assert got[row] == pytest.approx(2 ** (-np.mean(paths) / usual(64)), rel=0.02)
+        own = [p for p, s in zip(paths, seen[:, row]) if not s]
+        assert unseen[row] == pytest.approx(2 ** (-np.mean(own) / usual(64)), rel=0.02)
+    assert got[300:304].min() > np.median(got) + 0.1
+
+
+def test_thresholds_need_bad_rows_above_them():
+    rng = np.random.default_rng(4)
+    good, bad = rng.uniform(0.3, 0.5, 1000), np.append(rng.uniform(0.6, 0.8, 40), [0.31] * 5)
+    scores, labels = np.concatenate([good, bad]), np.arange(1045) >= 1000
+    t = quality.calibrated(scores, labels, 0.002)
+    assert ((scores >= t) & labels).sum() == 40 and not ((scores >= t) & ~labels).any()
+    # bad rows that look like good ones: no threshold catches them without as many good ones
+    assert quality.calibrated(np.append(good, good[:5]), labels[:1005], 0.002) == math.inf
+    assert quality.calibrated(good, np.zeros(1000, bool), 0.002) == math.inf and quality.calibrated(np.zeros(0), np.zeros(0, bool), 0.1) == math.inf
+
+
+def test_repeats_reject_where_they_tell(spark):
+    from tests.llm.test_operators import docs, labels, prose
+
+    rng = random.Random(8)
+    rows = []
+    for i in range(500):
+        lines = [prose(rng, 12, 9000) for _ in range(8)]
+        rows.append((i, "\n".join(lines + lines[:3] * (i % 10 == 0))))
+    d = docs(spark, rows)
+    forests = quality.fit(d, labels(spark, [(i, int(i % 10 != 0), None) for i in range(0, 500) if i % 3]))
+    kept = {r.doc_id: r.kept for r in quality.apply(d, forests).collect()}
+    held = range(0, 500, 3)
+    assert not any(kept[i] for i in held if i % 10 == 0) and all(kept[i] for i in held if i % 10)
