@@ -2,8 +2,9 @@
 
 Terms of a document are its distinct words and their beginnings, hashed.  The machine adds to linear
 weights an inner product of factors for each pair of terms, so that pairs such as an insult and the
-mention of a group count beyond their sum.  It is fitted on a bounded sample of labelled rows; whole
-texts are scored.  Scores are calibrated on labelled rows that the fit did not see, and scaled so that
+mention of a group count beyond their sum.  Its terms are those that tell by themselves and those that
+tell in pairs: the latter are found by trying each pair of common terms in the sample.  It
+is fitted on a bounded sample of labelled rows; whole texts are scored.  Scores are calibrated on labelled rows that the fit did not see, and scaled so that
 the decision of best F1 there lies at `DECISION`.
 
 Null and empty texts have no terms and get the machine's bias, like any text without telling terms.
@@ -67,15 +68,70 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.scale * self.raw(rows) + self.shift, -30, 30)))
 
 
-def chosen_terms(rows: list[np.ndarray], y: np.ndarray, most: int, least_z: float, least_rows: int = 4) -> dict[int, int]:
-    """Terms whose odds differ between the labels, by the z of their log odds ratio."""
-    pos = np.bincount(np.concatenate([r for r, t in zip(rows, y) if t] or [np.zeros(0, np.int64)]), minlength=BUCKETS)
-    neg = np.bincount(np.concatenate([r for r, t in zip(rows, y) if not t] or [np.zeros(0, np.int64)]), minlength=BUCKETS)
+def support(rows: list[np.ndarray], size: int) -> np.ndarray:
+    return np.bincount(np.concatenate(rows or [np.zeros(0, np.int64)]), minlength=size)
+
+
+def telling_terms(rows: list[np.ndarray], y: np.ndarray, least_z: float, least_rows: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """Terms whose odds differ between the labels, by the z of their log odds ratio, largest first; and all z."""
+    pos, neg = support([r for r, t in zip(rows, y) if t], BUCKETS), support([r for r, t in zip(rows, y) if not t], BUCKETS)
     p, n, np_, nn = pos + 0.5, neg + 0.5, y.sum() + 1.0, (~y).sum() + 1.0
     z = np.abs(np.log(p / (np_ - p + 0.5)) - np.log(n / (nn - n + 0.5))) / np.sqrt(1 / p + 1 / n)
     z[pos + neg < least_rows] = 0
-    best = np.argsort(-z, kind="stable")[:most]
-    return {int(b): k for k, b in enumerate(best[z[best] >= least_z])}
+    best = np.argsort(-z, kind="stable")
+    return best[z[best] >= least_z], z
+
+
+def paired_terms(rows: list[np.ndarray], y: np.ndarray, screened: int, most: int, least_z: float, least_rows: int = 20) -> np.ndarray:
+    """Terms of pairs that tell what neither tells alone, those of the clearest pairs first.
+
+    Such a pair's odds of label 1 are higher where both terms are than where one or none is, or differ between rows
+    with one of them and rows with both or none; its z is the least of the differences of log odds that this takes.
+    All pairs of the `screened` terms that are nearest to being in half of the rows are tried; of terms that are in
+    the same rows one stands for all.
+    """
+    seen = support(rows, BUCKETS)
+    # a random number for each row: terms of equal sums are in the same rows
+    mark = np.random.default_rng(9).integers(1, 1 << 40, len(rows)).astype(float)
+    flat = np.concatenate(rows or [np.zeros(0, np.int64)])
+    sums = np.bincount(flat, np.repeat(mark, [len(r) for r in rows]), BUCKETS)
+    common = np.flatnonzero((seen >= least_rows) & (seen <= len(rows) - least_rows))
+    common = common[np.sort(np.unique(sums[common], return_index=True)[1])]
+    common = common[np.argsort(-np.minimum(seen[common], len(rows) - seen[common]), kind="stable")][:screened]
+    if not len(common):
+        return common
+    place = np.full(BUCKETS, -1)
+    place[common] = np.arange(len(common))
+    x = np.zeros((len(rows), len(common)), np.float32)
+    for k, r in enumerate(rows):
+        at = place[r]
+        x[k, at[at >= 0]] = 1
+    odds, spread = [0.0] * 4, [0.0] * 4  # of the rows with both terms, with one, with the other, with none
+    for own, sign in ((x[y], 1), (x[~y], -1)):
+        both, one = own.T @ own, own.sum(0)
+        cells = both, one[:, None] - both, one[None, :] - both, len(own) - one[:, None] - one[None, :] + both
+        for k, cell in enumerate(cells):
+            odds[k] = odds[k] + sign * np.log(cell + np.float32(0.5))
+            spread[k] = spread[k] + 1 / (cell + np.float32(0.5))
+
+    def beyond(i, j):
+        return (odds[i] - odds[j]) / np.sqrt(spread[i] + spread[j])
+
+    least = lambda *gaps: np.minimum.reduce(gaps)
+    together = least(beyond(0, 1), beyond(0, 2), beyond(0, 3))
+    alike = least(beyond(0, 1), beyond(0, 2), beyond(3, 1), beyond(3, 2))
+    apart = least(beyond(1, 0), beyond(2, 0), beyond(1, 3), beyond(2, 3))
+    z = np.triu(np.maximum.reduce([together, alike, apart]), 1)
+    a, b = np.nonzero(z >= least_z)
+    order = np.argsort(-z[a, b], kind="stable")
+    return common[list(dict.fromkeys(np.stack([a[order], b[order]], 1).ravel().tolist()))[:most]]
+
+
+def chosen_terms(rows: list[np.ndarray], y: np.ndarray, most: int, least_z: float, screened: int = 2048, least_pair_z: float = 4.0) -> dict[int, int]:
+    """At most `most` terms, of which up to a quarter are there for pairs."""
+    pairs = paired_terms(rows, y, screened, most // 4, least_pair_z)
+    alone = telling_terms(rows, y, least_z)[0][: most - len(pairs)]
+    return {t: k for k, t in enumerate(dict.fromkeys([*pairs.tolist(), *alone.tolist()]))}
 
 
 def train(rows: list, y: np.ndarray, size: int, place: dict[int, int], factors: int = 8, epochs: int = 40, rate: float = 0.05, decay: float = 1e-4, seed: int = 3) -> Machine:
@@ -131,7 +187,7 @@ def _terms_of(batches):
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(got, pa.list_(pa.int32())), pa.array(labels, pa.int32())], ["doc_id", "terms", "label"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: tuple[int, int] = (2500, 5000), most_terms: int = 4096, least_z: float = 3.0) -> Machine:
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: tuple[int, int] = (2500, 5000), most_terms: int = 8192, least_z: float = 3.0) -> Machine:
     """Fit on bounded samples, sample_rows giving the most rows of label 1 and of label 0: those whose ids hash lowest.
 
     A fifth of them, by another hash, don't train but calibrate.
@@ -141,10 +197,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: tuple[int, int] = (2500
     got: list = []
     for label, most in zip((1, 0), sample_rows):
         rows = texts.join(bounded_sample(known.where(F.col("label") >= 1 if label else F.col("label") < 1), most), "doc_id").select("doc_id", "text", F.lit(label).alias("label"))
-        part = rows.mapInArrow(_terms_of, "doc_id long, terms array<int>, label int").toArrow()
+        # ids may repeat among documents: the bound holds before rows reach the driver
+        part = rows.mapInArrow(_terms_of, "doc_id long, terms array<int>, label int").orderBy(F.xxhash64("doc_id"), "doc_id", "terms").limit(most).toArrow()
         values, ends = part.column("terms").combine_chunks(), part.column("doc_id").to_pylist()
         flat, cuts = values.flatten().to_numpy(), np.cumsum([0, *(len(x) for x in values)])
-        got += sorted(((i, tuple(flat[a:b].tolist()), label) for i, a, b in zip(ends, cuts[:-1], cuts[1:])), key=lambda r: (xxhash.xxh64_intdigest(str(r[0])), r[1]))[: 2 * most]
+        got += sorted(((i, tuple(flat[a:b].tolist()), label) for i, a, b in zip(ends, cuts[:-1], cuts[1:])), key=lambda r: (xxhash.xxh64_intdigest(str(r[0])), r[1]))
     y = np.array([r[2] for r in got], bool)
     if not len(y) or y.all() or not y.any():
         share = float(np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6))

@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from pagewright.llm import language, quality
+from pagewright.llm import language, quality, toxicity
 from tests.llm.test_operators import DOCS, odd  # noqa: F401
 
 
@@ -83,3 +83,66 @@ def test_repeats_reject_where_they_tell(spark):
     kept = {r.doc_id: r.kept for r in quality.apply(d, forests).collect()}
     held = range(0, 500, 3)
     assert not any(kept[i] for i in held if i % 10 == 0) and all(kept[i] for i in held if i % 10)
+
+
+def test_machine_is_the_plain_sum_over_pairs():
+    rng = np.random.default_rng(6)
+    m = toxicity.Machine({}, 0.3, rng.normal(0, 1, 12), rng.normal(0, 1, (12, 4)), 1.7, -0.2)
+    rows = [sorted(rng.choice(12, n, replace=False).tolist()) for n in (0, 1, 2, 5, 12)]
+    for r, got in zip(rows, m.scores(rows)):
+        raw = 0.3 + sum(m.weight[i] for i in r) + sum(float(m.factors[i] @ m.factors[j]) for i in r for j in r if i < j)
+        assert got == pytest.approx(1 / (1 + math.exp(-(1.7 * raw - 0.2))))
+
+
+def test_calibration_puts_the_best_cut_at_the_decision():
+    rng = np.random.default_rng(7)
+    m = toxicity.Machine({}, 0.0, rng.normal(0, 1, 40), np.zeros((40, 1)))
+    rows = [sorted(rng.choice(40, 8, replace=False).tolist()) for _ in range(400)]
+    raw = m.raw(rows)
+    y = raw + rng.normal(0, 1.5, 400) > 2
+    toxicity.calibrate(m, rows, y)
+    best = max(2 * (y & (raw >= t)).sum() / ((raw >= t).sum() + y.sum()) for t in raw)
+    cut = m.scores(rows) >= toxicity.DECISION
+    assert 2 * (y & cut).sum() / (cut.sum() + y.sum()) == pytest.approx(best)
+
+
+@pytest.mark.parametrize("either", [True, False])
+def test_toxicity_learns_labels_that_no_single_term_shows(spark, either):
+    """Label 1: exactly one of two words, or both or none; factors at zero do no better than chance."""
+    from tests.llm.test_operators import docs, labels, prose
+
+    rng = random.Random(15)
+    rows, marks = [], []
+    for i in range(1500):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        rows.append((i, prose(rng, 30, 2000) + " blorgface" * a + " zanties" * b))
+        marks.append((i, 1, int((a != b) == either)))
+    d = docs(spark, rows)
+    machine = toxicity.fit(d, labels(spark, marks))
+    got = {r.doc_id: r for r in toxicity.apply(d, machine).collect()}
+    held = [i for i in got if got[i].held_out]
+    assert np.mean([got[i].predicted == marks[i][2] for i in held]) > 0.95
+    machine.factors[:] = 0
+    plain = {r.doc_id: r.score for r in toxicity.apply(d, machine).collect()}
+    cuts = sorted({plain[i] for i in held})
+    assert max(np.mean([(plain[i] >= c) == marks[i][2] for i in held]) for c in cuts) < 0.7
+
+
+def test_repeated_labelled_ids_stay_within_the_bound(spark):
+    from tests.llm.test_operators import docs, labels, prose
+
+    rng = random.Random(16)
+    d = docs(spark, [(i % 4, prose(rng, 60) + " bad" * (i % 4 == 1)) for i in range(400)])
+    seen = []
+    real = toxicity.train
+
+    def spy(rows, *a, **k):
+        seen.append(len(rows))
+        return real(rows, *a, **k)
+
+    toxicity.train = spy
+    try:
+        toxicity.fit(d, labels(spark, [(i, 1, int(i == 1)) for i in range(400)]), (30, 50))
+    finally:
+        toxicity.train = real
+    assert not seen or seen[0] <= 80
