@@ -15,6 +15,7 @@ own rows; empty tables an empty result.  `clean_documents` keeps all columns.
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from itertools import accumulate
 
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import Memo, portions
+from pagewright.llm.common import Memo, held, portions, work_folder
 from pagewright.llm.toxicity import CLEAN
 
 WIDTH, SHARE, SLOTS = 5, 0.8, 64
@@ -166,52 +167,66 @@ class Index:
                 yield text, self.ids[item], shared, len(self.shingles[item])
 
 
-def item_blocks(benchmark: DataFrame, most_items: int = 20_000):
-    """The items in blocks of about most_items, dealt by hash: only one block is on the driver and sent out at a time."""
+def index_files(benchmark: DataFrame, most_items: int = 20_000) -> list[str]:
+    """Indexes of the items in blocks of about most_items, dealt by hash, as files in the shared folder.
+
+    Only one block is on the driver at a time; a worker holds at most the last few that it has read.
+    """
+    from pyarrow import fs
+
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text")).where(F.col("text").isNotNull())
     blocks = max(1, -(-rows.count() // most_items))
+    store, base = fs.FileSystem.from_uri(folder := work_folder(benchmark.sparkSession, "items"))
+    store.create_dir(base, recursive=True)
     for k in range(blocks):
-        part = rows.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
-        yield [(r.item_id, bytes(r.text)) for r in part.orderBy("item_id").collect()]
+        part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
+        index = Index([(r.item_id, bytes(r.text)) for r in part.orderBy("item_id").collect()])
+        with store.open_output_stream(f"{base}/{k}.pickle") as file:
+            file.write(pickle.dumps(index))
+    return [f"{folder}/{k}.pickle" for k in range(blocks)]
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, most_items: int = 20_000) -> DataFrame:
-    """A row for each document and item that it contains; items in blocks, all documents against each."""
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+def opened(path: str) -> Index:
+    from pyarrow import fs
+
+    store, place = fs.FileSystem.from_uri(path)
+    with store.open_input_stream(place) as file:
+        return pickle.loads(file.read())
 
-    def search(index):
-        def run(batches):
-            memo = Memo(xxhash.xxh64_intdigest)
-            for batch in batches:
-                ids, texts, rows = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), []
-                for a, b in portions(texts):
-                    rows += [(ids[a + t], i, s, n, s / n) for t, i, s, n in index.matches([words(x) for x in texts[a:b]], memo)]
-                    memo.trim()
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.float64() if k == 4 else pa.int64()) for k in range(5)], ["doc_id", "item_id", "n_shared", "n_item", "containment"])
 
-        return run
+def matched(texts: list[bytes | None], files: list[str], memo: Memo):
+    """(text, item id, shared, of the item) of a batch, in portions that are larger where several indexes are read for each."""
+    for a, b in portions(texts, 2_000_000 if len(files) == 1 else 8_000_000):
+        parts = [words(x) for x in texts[a:b]]
+        for path in files:
+            index = held(path, lambda path=path: opened(path))
+            yield from ((a + t, *found) for t, *found in index.matches(parts, memo))
+        memo.trim()
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, most_items: int = 20_000) -> DataFrame:
+    """A row for each document and item that it contains; one pass over the documents."""
+    files = index_files(benchmark, most_items)
+
+    def run(batches):
+        memo = Memo(xxhash.xxh64_intdigest)
+        for batch in batches:
+            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            rows = [(ids[t], i, s, n, s / n) for t, i, s, n in matched(texts, files, memo)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.float64() if k == 4 else pa.int64()) for k in range(5)], ["doc_id", "item_id", "n_shared", "n_item", "containment"])
 
-    out = None
-    for items in item_blocks(benchmark, most_items):
-        found = source.mapInArrow(search(Index(items)), SCHEMA)
-        out = found if out is None else out.unionByName(found)
-    return out
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, SCHEMA)
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, most_items: int = 20_000) -> DataFrame:
     """The documents with all columns, without those that contain an item."""
-    for items in item_blocks(benchmark, most_items):
-        index, name = Index(items), f"clean_{uuid.uuid4().hex}"
+    files, name = index_files(benchmark, most_items), f"clean_{uuid.uuid4().hex}"
 
-        def clean(texts, index=index):
-            import pandas as pd
+    @F.pandas_udf("boolean")
+    def clean(texts):
+        import pandas as pd
 
-            memo = Memo(xxhash.xxh64_intdigest)
-            texts, bad = texts.tolist(), set()
-            for a, b in portions(texts):
-                bad.update(a + t for t, *_ in index.matches([words(bytes(x) if x is not None else None) for x in texts[a:b]], memo))
-                memo.trim()
-            return pd.Series([k not in bad for k in range(len(texts))], dtype=bool)
+        bad = {t for t, *_ in matched([None if x is None else bytes(x) for x in texts], files, Memo(xxhash.xxh64_intdigest))}
+        return pd.Series([k not in bad for k in range(len(texts))], dtype=bool)
 
-        docs = docs.withColumn(name, F.pandas_udf(clean, "boolean")(F.col("text").cast("binary"))).where(F.col(name)).drop(name)
-    return docs
+    return docs.withColumn(name, clean(F.col("text").cast("binary"))).where(F.col(name)).drop(name)
