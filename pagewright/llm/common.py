@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -24,12 +26,17 @@ def fold(doc_id: Column, n: int) -> Column:
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share (spark.checkpoint.dir).
 
-    Only where the session names none, as in tests on one machine, a temporary folder is set.
+    Only where the session names none and runs on one machine, as in tests, a temporary folder is set, which goes with
+    the process.  What is stored in the shared folder of a cluster stays as long as results are read from it, so it is
+    the cluster's to clear.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="pagewright-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

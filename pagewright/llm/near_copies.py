@@ -1,6 +1,8 @@
-"""Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, and what follows.
+"""The SimHash operator at a Jaccard similarity of 0.8 or more of sets of five-word shingles.
 
-Texts of equal sets are one set.  Each set gives 40 bands of five MinHash values; sets that share a band are
+Texts of equal sets are one set.  Sets whose fingerprints differ in at most 3 bits meet at the anchors of
+`simhash`.  At a similarity of 0.8 fingerprints differ in 10 bits of 64 in the mean and anchors within reach of 14
+bits would be most of the code, so sets also meet by MinHash: each gives 40 bands of five MinHash values; sets that share a band are
 candidates (a pair at exactly 0.8 shares none with probability 2e-7, a closer pair less often).  Candidates hang
 on the least set of their band, never in all pairs; each component of these links is one group.  In its group each
 set is compared exactly, on 64-bit hashes of the shingles, with every set that has not been reached: all pairs of
@@ -23,9 +25,9 @@ from pyspark.sql import functions as F
 from pagewright.llm.common import held, stored
 from pagewright.llm.components import components
 from pagewright.llm.decontamination import ODD, mixed
-from pagewright.llm.simhash import SEED, digest, one_of_each
+from pagewright.llm.simhash import SEED, digest, links, one_of_each
 
-WIDTH, LEAST, BANDS, ROWS = 5, 0.8, 40, 5
+WIDTH, LEAST, BANDS, ROWS, BITS = 5, 0.8, 40, 5, 3
 
 
 def shingles(text: bytes | None, width: int = WIDTH) -> np.ndarray:
@@ -41,6 +43,12 @@ def shingles(text: bytes | None, width: int = WIDTH) -> np.ndarray:
     return np.unique(np.fromiter((hashes(p, SEED) for p in parts), np.uint64, len(parts)))
 
 
+def fingerprint(hashes: np.ndarray) -> int:
+    """64 bits, set in more than half of the set's hashes; signed."""
+    bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    return int.from_bytes(np.packbits(2 * bits.sum(0, dtype=np.int64) > len(hashes)).tobytes(), "big", signed=True)
+
+
 class Sketch:
     """BANDS hashes of ROWS MinHash values each."""
 
@@ -62,20 +70,21 @@ class Sketch:
 
 
 def sets(docs: DataFrame) -> DataFrame:
-    """doc_id, digest of the text, key of its set of shingles, and the set's bands (none where it is empty)."""
+    """doc_id, digest of the text, and of its set of shingles: key, fingerprint, bands (none where it is empty)."""
 
     def run(batches):
         sketch = held("near copies", Sketch)
         for batch in batches:
-            keys, bands = [], []
+            keys, bands, prints = [], [], []
             for t in batch.column("text").to_pylist():
                 h = shingles(t)
                 keys.append(xxhash.xxh64_intdigest(h.tobytes(), SEED))
                 bands.append(sketch.bands(h).tobytes() if len(h) else b"")
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(bands, pa.binary())], ["doc_id", "digest", "key", "bands"])
+                prints.append(fingerprint(h))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(prints, pa.int64()), pa.array(bands, pa.binary())], ["doc_id", "digest", "key", "fp", "bands"])
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest().alias("digest"), F.col("text").cast("binary").alias("text"))
-    return source.mapInArrow(run, "doc_id long, digest string, key long, bands binary")
+    return source.mapInArrow(run, "doc_id long, digest string, key long, fp long, bands binary")
 
 
 def _bands(batches):
@@ -145,12 +154,22 @@ def _hashes(batches):
         yield pa.RecordBatch.from_arrays([batch.column("root"), batch.column("key"), pa.array([shingles(t).tobytes() for t in batch.column("text").to_pylist()], pa.binary())], ["root", "key", "hashes"])
 
 
+def by_anchors(single: DataFrame) -> DataFrame:
+    """Links of sets by their fingerprints: each set with the least one of its fingerprint, these with each other."""
+    heads = single.groupBy("fp").agg(F.min("key").alias("head"))
+    same = single.join(heads.withColumnRenamed("fp", "f"), F.col("fp") == F.col("f")).where(F.col("key") != F.col("head")).select(F.col("key").alias("a"), F.col("head").alias("b"))
+    pairs = links(heads.select("fp"), BITS)
+    a, b = (heads.select(F.col("fp").alias(f"f{c}"), F.col("head").alias(f"h{c}")) for c in "ab")
+    return same.unionByName(pairs.join(a, F.col("a") == F.col("fa")).join(b, F.col("b") == F.col("fb")).select(F.col("ha").alias("a"), F.col("hb").alias("b")))
+
+
 def grouped(docs: DataFrame) -> DataFrame:
     """doc_id, digest and root of every document: root is one key for each component of near copies."""
     found = stored(sets(docs), "shingle-sets")
-    single = found.groupBy("key").agg(F.min("digest").alias("digest"), F.first("bands").alias("bands"))
+    single = found.groupBy("key").agg(F.min("digest").alias("digest"), F.first("bands").alias("bands"), F.first("fp").alias("fp"))
     rows = single.select("key", "bands").mapInArrow(_bands, "band long, key long")
-    roots = components(rows.repartition("band").sortWithinPartitions("band", "key").mapInArrow(_hung, "a long, b long"))
+    by_bands = rows.repartition("band").sortWithinPartitions("band", "key").mapInArrow(_hung, "a long, b long")
+    roots = components(by_bands.unionByName(by_anchors(single.where(F.length("bands") > 0).select("key", "fp"))))
     roots = roots.unionByName(roots.select(F.col("root").alias("key"), "root").distinct())
     asked = single.select("key", "digest").join(roots.withColumnRenamed("key", "k"), F.col("key") == F.col("k")).select("digest", "key", "root")
     # one text of each set that has a candidate

@@ -211,12 +211,17 @@ def _rooted(docs: DataFrame, t: int, width: int, most_homes: int = 512, digests:
     """The fingerprints, and (fp, first, root): of each the least doc_id and the least fingerprint of its component."""
     prints = stored(fingerprints(docs, width, digests), "fingerprints")
     single = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+    roots = components(links(single.select("fp"), t, most_homes))
+    return prints, single.join(roots.withColumnRenamed("key", "k"), F.col("fp") == F.col("k"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
+def links(single: DataFrame, t: int, most_homes: int = 512) -> DataFrame:
+    """(a, b) of distinct fingerprints at t or fewer differing bits: enough of them to join all that are linked."""
     cover_home = single.select("fp").mapInArrow(_homes, "anchor long")
     # at most 4,096 rows: one for each first-level anchor
     crowded = [r.anchor for r in cover_home.groupBy("anchor").count().where(F.col("count") > most_homes).collect()]
     rows = anchored(single.select("fp"), t, crowded).repartition("anchor").sortWithinPartitions("anchor", "sent")
-    roots = components(rows.mapInArrow(compare_sorted(t), "a long, b long"))
-    return prints, single.join(roots.withColumnRenamed("key", "k"), F.col("fp") == F.col("k"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    return rows.mapInArrow(compare_sorted(t), "a long, b long")
 
 
 def _homes(batches):
