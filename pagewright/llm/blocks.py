@@ -61,15 +61,21 @@ class Block:
         return cls(*unpacked(blob, np.int64, np.int64, None))
 
 
-def blocks(docs: DataFrame, block_bytes: int = 4_000_000) -> DataFrame:
-    """(block, n_bytes, blob): every document's id and whole text, in blocks of about block_bytes or one longer text."""
+def whole_texts(ids: np.ndarray, texts: list[bytes]) -> bytes:
+    return packed(ids, np.array([len(t) for t in texts], np.int64), b"".join(texts), level=8)
+
+
+def blocks(docs: DataFrame, block_bytes: int = 4_000_000, pack=whole_texts) -> DataFrame:
+    """(block, n_bytes, blob): every document's id and whole text, in blocks of about block_bytes or one longer text.
+
+    pack: makes the blob of a block's ids and texts.
+    """
 
     def run(batches):
         number, ids, texts, size = TaskContext.get().partitionId() << 24, [], [], 0
 
         def close():
-            sizes = np.array([len(t) for t in texts], np.int64)
-            blob = packed(np.array(ids, np.int64), sizes, b"".join(texts), level=8)
+            blob = pack(np.array(ids, np.int64), texts)
             return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([size]), pa.array([blob], pa.binary())], ["block", "n_bytes", "blob"])
 
         for batch in batches:

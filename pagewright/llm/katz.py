@@ -1,18 +1,28 @@
 """LM scoring: a Katz backoff model with Good-Turing discounts and exactly normalised backoff weights.
 
-Counts live in tables partitioned by context.  A block of documents asks each partition once for what it needs:
-its distinct words, then, for each order, its distinct (context, word) pairs with the probability that the next
-lower order gives the word.  A partition adds up the blocks' training counts and answers with each pair's count
-and each context's totals: its count, how many of its followers were seen 1, 2, ... times, and the sum of the
-lower order's probabilities over the followers seen.  From these the block evaluates the recursion
+Texts are read once, into blocks of word numbers.  Counts live in tables partitioned by word, then by context:
 
-    P(w | h) = d(c) c(hw) / c(h)  if hw was seen, else  a(h) P(w | shorter h)
+1. A block asks each partition of words for the numbers and training counts of its distinct words.
+2. It sends its distinct n-grams of the highest order with their training counts to the partition of the word before
+   the last.  All shorter contexts of an n-gram end with that word too, so that partition can count every order.  It
+   keeps the merged n-grams, and which of them each block asked for, as one row of a table; counts of counts are added
+   up over all partitions.
+3. With the discounts of every order the partition evaluates the recursion for each of its n-grams,
 
-for every token, a(h) being the mass that discounts leave over, divided by the lower order's mass of what was not
-seen.  A context whose followers were all seen too often for a discount counts once more, which leaves 1/(c(h)+1).
-The words never seen share one class, which gets the mass that the unigrams' discounts leave.
+       P(w | h) = d(c) c(hw) / c(h)  if hw was seen, else  a(h) P(w | shorter h)
 
-Words are known by 64-bit hashes until they have numbers; contexts of two or more words by hashes of these.
+   a(h) being the mass that discounts leave over, divided by the lower order's mass of what was not seen, and answers
+   each block with a probability for each n-gram.
+
+Words that are very frequent as contexts (over `hot` training tokens) are split: their n-grams are dealt by the two
+words before the last.  Their pairs with the last word, partial by partition, are added up in a table of their own,
+dealt by pair; the totals of these few contexts (at most tokens / hot) go to all partitions.
+
+A context whose followers were all seen too often for a discount counts once more, which leaves 1/(c(h)+1).  The words
+never seen share one class, which gets the mass that the unigrams' discounts leave.  The mass of what was not seen is
+never less than that class's, so that rounding can't blow up a weight.
+
+Words are known by 64-bit hashes until they have numbers.  Counts have 64 bits.
 
 A null text counts as empty: one token, the end.  A null doc_id is in no fold: such rows train.  Rows repeat as
 given.  An empty table gives an empty result; where nothing trains, every token has probability 1 by the model and
@@ -30,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.blocks import NO_ID, Block, blocks, dealt, id_array, packed, unpacked
+from pagewright.llm.blocks import NO_ID, blocks, dealt, id_array, packed, unpacked
 from pagewright.llm.common import stored
 
 #: Counts up to DISCOUNTED are discounted.
@@ -39,33 +49,44 @@ START, UNKNOWN, FIRST = 0, 1, 2
 #: No word is a space: its hash stands for a text's end.
 END = b" "
 ODD = np.uint64(0x9E3779B97F4A7C15)
-HISTOGRAM, ANSWER = 0, 1
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-ANSWERS = "kind int, block long, bucket long, blob binary"
 ASKED = "bucket long, block long, blob binary"
+#: Rows of a partition: its counts of counts by order, and what it keeps or answers.
+KEPT = "kind int, block long, bucket long, counts array<array<long>>, blob binary"
+COUNTS, ANSWER, GRAMS, PAIRS, TOTALS = range(5)
+
+
+def numbered(folds: int, left_out: int):
+    """Packs a block: ids, whether held out, sizes, tokens as numbers of the block's distinct words, these words' hashes."""
+
+    def pack(ids: np.ndarray, texts: list[bytes]) -> bytes:
+        known: dict[bytes, int] = {END: 0}
+        parts, sizes = [np.zeros(0, np.uint32)], []
+        for text in texts:
+            words = text.lower().split()
+            parts.append(np.array([known.setdefault(w, len(known)) for w in words] + [0], np.uint32))
+            sizes.append(len(words) + 1)
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in known), np.uint64, len(known))
+        held = np.array([i != NO_ID and zlib.crc32(str(i).encode()) % folds == left_out for i in ids.tolist()], np.uint8)
+        return packed(ids, held, np.array(sizes, np.int64), np.concatenate(parts), hashes, level=8)
+
+    return pack
 
 
 @dataclass
 class Tokens:
     """A block's tokens as numbers of its distinct words, and where texts begin."""
 
-    block: Block
+    ids: np.ndarray
     held_out: np.ndarray
     of: np.ndarray
     starts: np.ndarray
     hashes: np.ndarray
 
     @classmethod
-    def read(cls, block: Block, folds: int, left_out: int) -> Tokens:
-        known: dict[bytes, int] = {END: 0}
-        parts, sizes = [], []
-        for text in block.texts():
-            words = text.lower().split()
-            parts.append(np.array([known.setdefault(w, len(known)) for w in words] + [0], np.int64))
-            sizes.append(len(words) + 1)
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in known), np.uint64, len(known))
-        held = np.array([i != NO_ID and zlib.crc32(str(i).encode()) % folds == left_out for i in block.ids.tolist()], bool)
-        return cls(block, held, np.concatenate([np.zeros(0, np.int64), *parts]), np.cumsum([0, *sizes])[:-1].astype(np.int64), hashes)
+    def read(cls, blob: bytes) -> Tokens:
+        ids, held, sizes, of, hashes = unpacked(blob, np.int64, np.uint8, np.int64, np.uint32, np.uint64)
+        return cls(ids, held.astype(bool), of.astype(np.int64), np.cumsum(sizes) - sizes, hashes)
 
     @property
     def trains(self) -> np.ndarray:
@@ -113,247 +134,359 @@ def dealt_sorted(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarr
     return up[order], cuts
 
 
-def ask_words(buckets: int, folds: int, left_out: int):
+def ask_words(buckets: int):
     """Per block and bucket, distinct words' hashes and their training counts."""
 
     def run(batches):
         for batch in batches:
             for number, blob in zip(batch.column("block").to_pylist(), batch.column("blob").to_pylist()):
-                t = Tokens.read(Block.of(blob), folds, left_out)
+                t = Tokens.read(blob)
                 counts = np.bincount(t.of[t.trains], minlength=len(t.hashes))
                 order, cuts = dealt_sorted(t.hashes, buckets)
                 full = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-                rows = [packed(np.diff(t.hashes[order[cuts[b] : cuts[b + 1]]], prepend=np.uint64(0)), counts[order[cuts[b] : cuts[b + 1]]].astype(np.uint32)) for b in full]
+                rows = [packed(np.diff(t.hashes[order[cuts[b] : cuts[b + 1]]], prepend=np.uint64(0)), counts[order[cuts[b] : cuts[b + 1]]]) for b in full]
                 yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array([number] * len(full), pa.int64()), pa.array(rows, pa.binary())], ["bucket", "block", "blob"])
 
     return run
 
 
+def kept_rows(rows: list[tuple]) -> pa.Table:
+    """Rows of (kind, block, bucket, counts, blob)."""
+    types = (pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64())), pa.binary())
+    return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["kind", "block", "bucket", "counts", "blob"])
+
+
 def answer_words(buckets: int):
     """For each block's words of a bucket, their numbers and total counts; frequent words get small numbers."""
 
     def run(table: pa.Table) -> pa.Table:
         bucket, numbers = table.column("bucket")[0].as_py(), table.column("block").to_pylist()
-        asked = [(np.cumsum(h, dtype=np.uint64), c) for h, c in (unpacked(x, np.uint64, np.uint32) for x in table.column("blob").to_pylist())]
+        asked = [(np.cumsum(h, dtype=np.uint64), c) for h, c in (unpacked(x, np.uint64, np.int64) for x in table.column("blob").to_pylist())]
         words, back = np.unique(np.concatenate([h for h, _ in asked]), return_inverse=True)
-        counts = np.bincount(back, np.concatenate([c for _, c in asked]).astype(float), len(words)).astype(np.int64)
+        counts = added(back, np.concatenate([c for _, c in asked]), len(words))
         place = np.empty(len(words), np.int64)
         place[np.lexsort((words, -counts))] = np.arange(len(words))
         names = np.where(counts > 0, FIRST + place * buckets + bucket, UNKNOWN)
         cuts = np.cumsum([0, *(len(h) for h, _ in asked)])
-        rows = [packed(names[back[a:b]], counts[back[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])]
-        return pa.table({"kind": pa.array([HISTOGRAM, *[ANSWER] * len(rows)], pa.int32()), "block": pa.array([-1, *numbers], pa.int64()), "bucket": pa.array([bucket] * (len(rows) + 1), pa.int64()), "blob": pa.array([packed(histogram(counts)), *rows], pa.binary())})
+        rows = [(ANSWER, n, bucket, None, packed(names[back[a:b]], counts[back[a:b]])) for n, a, b in zip(numbers, cuts[:-1], cuts[1:])]
+        return kept_rows([(COUNTS, -1, bucket, [histogram(counts).tolist()], None), *rows])
 
     return run
 
 
-def pairs(context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (context, word) sorted, and for each token the place of its pair."""
-    if len(word) and max(int(context.max()), int(word.max())) < 1 << 32:
-        both, back = np.unique(context << np.uint64(32) | word, return_inverse=True)
-        return both >> np.uint64(32), both & np.uint64(0xFFFFFFFF), back
-    order = np.lexsort((word, context))
-    c, w = context[order], word[order]
-    new = np.append(True, (c[1:] != c[:-1]) | (w[1:] != w[:-1]))[: len(c)]
-    back = np.empty(len(c), np.int64)
-    back[order] = np.cumsum(new) - 1
-    return c[new], w[new], back
-
-
-def before(word: np.ndarray, starts: np.ndarray, steps: int) -> np.ndarray:
-    """Each token's context of that many words, as one number; what lies before a text is START."""
-    out = None
-    place = np.arange(len(word)) - np.repeat(starts, np.diff(np.append(starts, len(word))))
-    for k in range(steps, 0, -1):
-        w = np.full(len(word), START, np.uint64)
-        w[k:] = word[: len(word) - k] if k < len(word) else word[:0]
-        w[place < k] = START
-        if out is None:
-            out = w
-        else:
-            out = (out ^ (out >> np.uint64(31))) * ODD + w + np.uint64(1)
-            out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+def added(of: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of whole numbers, in 64 bits."""
+    out = np.zeros(n, np.int64)
+    np.add.at(out, of, values)
     return out
 
 
-class Evaluation:
-    """The recursion over one block, as far as answers are there."""
+def distinct(columns: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows of numbers below `size`: the first of each distinct row, in order of the columns, and which it is of every row."""
+    if size ** len(columns) < 1 << 63:
+        key = columns[0].astype(np.int64)
+        for c in columns[1:]:
+            key = key * size + c
+        _, first, back = np.unique(key, return_index=True, return_inverse=True)
+        return first, back
+    order = np.lexsort(columns[::-1])
+    new = np.ones(len(order), bool)
+    new[1:] = False
+    for c in columns:
+        new[1:] |= c[order][1:] != c[order][:-1]
+    back = np.empty(len(order), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return order[new], back
+
 
-    def __init__(self, tokens: Tokens, answers: list[dict[int, bytes]], totals: list[Totals], buckets: int):
-        self.tokens, self.answers, self.totals, self.buckets = tokens, answers, totals, buckets
+class Asked:
+    """A block's distinct n-grams and how they are dealt, given its words' numbers and counts."""
+
+    def __init__(self, tokens: Tokens, answers: pa.Table, n: int, buckets: int, hot: int):
+        self.tokens = tokens
         order, cuts = dealt_sorted(tokens.hashes, buckets)
         names, counts = np.zeros(len(tokens.hashes), np.int64), np.zeros(len(tokens.hashes), np.int64)
-        for bucket, blob in answers[0].items():
-            own = order[cuts[bucket] : cuts[bucket + 1]]
-            names[own], counts[own] = unpacked(blob, np.int64, np.int64)
+        for kind, bucket, blob in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "blob"))):
+            if kind == ANSWER:
+                own = order[cuts[bucket] : cuts[bucket + 1]]
+                names[own], counts[own] = unpacked(blob, np.int64, np.int64)
         self.counts = counts[tokens.of]
-        self.words = names[tokens.of].astype(np.uint64)
-        t = totals[0]
-        # the mass of unknown words: what all discounts leave
-        p = t.discount(counts) * counts / t.whole
-        self.p = np.where(self.counts > 0, p[tokens.of], self.unknown(t))
-        for n in range(2, len(answers) + 1):
-            self.p = self.raised(n)
-
-    @staticmethod
-    def unknown(t: Totals) -> float:
-        return t.left if t.tokens else 1.0
-
-    def request(self, n: int):
-        """(context, word, back, order, cuts): the distinct pairs of this order, and how they are dealt."""
-        c, w, back = pairs(before(self.words, self.tokens.starts, n - 1), self.words)
-        order, cuts = dealt(c * ODD, self.buckets)
-        return c, w, back, order, cuts
-
-    def raised(self, n: int) -> np.ndarray:
-        """Probabilities of order n from those of order n - 1."""
-        c, _, back, order, cuts = self.request(n)
-        t = self.totals[n - 1]
-        lower = np.empty(len(c))
-        lower[back] = self.p
-        out = lower.copy()
-        for bucket, blob in self.answers[n - 1].items():
-            own = order[cuts[bucket] : cuts[bucket + 1]]
-            count, total, few, mass = unpacked(blob, np.uint32, np.int64, np.uint32, np.float64)
-            few = few.reshape(-1, DISCOUNTED).astype(float)
-            of = np.cumsum(np.append(True, c[own][1:] != c[own][:-1])) - 1
-            p, weight = discounted(count.astype(np.int64), of, total, few, mass, t)
-            out[own] = np.where(total[of] == 0, lower[own], np.where(count > 0, p, weight[of] * lower[own]))
-        return out[back]
-
-
-def discounted(count, of, total, few, mass, t: Totals):
-    """Probabilities of seen pairs, and each context's backoff weight."""
-    r = np.arange(1, DISCOUNTED + 1)
-    held = (few * r * (1 - t.discounts[1:])).sum(1)  # counts that discounts take away
-    whole = total + (held <= 0)
-    left = np.where(held > 0, held, 1.0) / np.maximum(whole, 1)
-    weight = left / np.maximum(1 - mass, 1e-300)
-    return t.discount(count) * count / np.maximum(whole, 1)[of], weight
-
-
-def evaluation(own: pa.Table, answers: pa.Table, totals, buckets: int, folds: int, left_out: int):
-    """Evaluations of the block's rows (one, as blocks have numbers of their own)."""
-    for blob in own.column("blob").to_pylist():
-        by_order: list[dict[int, bytes]] = [{} for _ in totals]
-        for level, bucket, x in zip(answers.column("level").to_pylist(), answers.column("bucket").to_pylist(), answers.column("blob").to_pylist()):
-            by_order[level - 1][bucket] = x
-        yield Evaluation(Tokens.read(Block.of(blob), folds, left_out), by_order, totals, buckets)
-
-
-def planes(a: np.ndarray) -> bytes:
-    """Numbers of any width, byte by byte of rank."""
-    return np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes()
-
-
-def ask_pairs(n: int, totals, buckets: int, folds: int, left_out: int):
-    """Per block and bucket, distinct pairs of order n: contexts, words, training counts, lower probabilities."""
+        if n == 1:
+            return
+        # numbers in this block, in the order of the words' own; what lies before a text is START, as frequent as the end
+        self.names, number = np.unique(np.append(names, START), return_inverse=True)
+        self.count_of = np.zeros(len(self.names), np.int64)
+        self.count_of[number] = np.append(counts, counts[0])
+        word = number[tokens.of]
+        place = np.arange(len(word)) - np.repeat(tokens.starts, np.diff(np.append(tokens.starts, len(word))))
+        columns = []
+        for k in range(1, n):
+            w = np.full(len(word), number[-1])
+            w[k:] = word[: len(word) - k] if k < len(word) else word[:0]
+            w[place < k] = number[-1]
+            columns.append(w)
+        first, self.back = distinct([*columns, word], len(self.names))
+        #: of each n-gram the words before the last, the nearest first, then the last
+        self.grams = [c[first] for c in (*columns, word)]
+        key = self.names[self.grams[0]].astype(np.uint64) * ODD
+        if n > 2:
+            far = (key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + self.names[self.grams[1]].astype(np.uint64) * ODD
+            key = np.where(self.count_of[self.grams[0]] > hot, far ^ (far >> np.uint64(31)), key)
+        self.order, self.cuts = dealt(key, buckets)
+
+    def requests(self, buckets: int):
+        """(bucket, blob) of what is asked: n-grams, their training counts, and the counts of their last words."""
+        count = np.bincount(self.back[self.tokens.trains], minlength=len(self.grams[0]))
+        for b in range(buckets):
+            part = self.order[self.cuts[b] : self.cuts[b + 1]]
+            if len(part):
+                columns = [self.names[g[part]] for g in self.grams]
+                last = np.unique(self.grams[-1][part])
+                yield b, packed(*(np.diff(c, prepend=0) for c in columns[:-1]), columns[-1], count[part], self.names[last], self.count_of[last], np.append(self.count_of[self.grams[0][part]], 0))
+
+    def probabilities(self, answers: pa.Table) -> np.ndarray:
+        """Of every token, from the partitions' answers."""
+        p = np.empty(len(self.grams[0]))
+        for kind, bucket, blob in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "blob"))):
+            if kind == GRAMS:
+                values, which = unpacked(blob, np.float64, np.uint32)
+                p[self.order[self.cuts[bucket] : self.cuts[bucket + 1]]] = values[which]
+        return p[self.back]
+
+
+@dataclass
+class Grams:
+    """A partition's merged n-grams, sorted: columns are numbers of `names`; `last` has the unigram counts of names."""
+
+    names: np.ndarray
+    last: np.ndarray
+    columns: list[np.ndarray]
+    counts: np.ndarray
+    #: whether the word before the last is split over partitions
+    split: np.ndarray
+
+    def contexts(self, k: int) -> np.ndarray:
+        """Which context of order k (of its k - 1 words) each n-gram has."""
+        new = np.zeros(len(self.counts), bool)
+        for c in self.columns[: k - 1]:
+            new[1:] |= c[1:] != c[:-1]
+        return np.cumsum(new)
+
+    def pairs(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of order k: each context-word pair's first n-gram, which pair every n-gram has, and the pairs' counts."""
+        if k == len(self.columns):
+            every = np.arange(len(self.counts))
+            return every, every, self.counts
+        first, back = distinct([self.contexts(k), self.columns[-1]], len(self.counts) + len(self.names) + 1)
+        return first, back, added(back, self.counts, len(first))
+
+    def packed(self) -> bytes:
+        columns = [np.diff(c.astype(np.int64), prepend=0).astype(np.int32) for c in self.columns[:-1]]
+        return packed(np.diff(self.names, prepend=0), self.last, *columns, self.columns[-1].astype(np.uint32), self.counts, np.packbits(self.split))
+
+    @classmethod
+    def unpacked(cls, blob: bytes, n: int) -> Grams:
+        names, last, *columns, counts, split = unpacked(blob, np.int64, np.int64, *[np.int32] * (n - 1), np.uint32, np.int64, np.uint8)
+        return cls(np.cumsum(names), last, [*(np.cumsum(c, dtype=np.int64) for c in columns[:-1]), columns[-1].astype(np.int64)], counts, np.unpackbits(split, count=len(counts)).astype(bool))
+
+
+def ask_grams(n: int, buckets: int, hot: int):
+    """Per block and bucket, distinct n-grams."""
 
     def run(key, own: pa.Table, answers: pa.Table) -> pa.Table:
-        rows, at, to = [], [], []
-        for number, e in zip(own.column("block").to_pylist(), evaluation(own, answers, totals, buckets, folds, left_out)):
-            c, w, back, order, cuts = e.request(n)
-            count = np.bincount(back[e.tokens.trains], minlength=len(c)).astype(np.uint32)
-            lower = np.empty(len(c))
-            lower[back] = e.p
+        rows = [(b, number, blob) for number, x in zip(own.column("block").to_pylist(), own.column("blob").to_pylist()) for b, blob in Asked(Tokens.read(x), answers, n, buckets, hot).requests(buckets)]
+        return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], ["bucket", "block", "blob"])
+
+    return run
+
+
+def merge_grams(n: int, buckets: int, hot: int):
+    """One row with a partition's n-grams and which of them each block asked for; its counts of counts; pairs of split words."""
+
+    def run(table: pa.Table) -> pa.Table:
+        bucket, numbers = table.column("bucket")[0].as_py(), table.column("block").to_pylist()
+        parts = [unpacked(x, *[np.int64] * (n + 4)) for x in table.column("blob").to_pylist()]
+        cuts = np.cumsum([0, *(len(p[n]) for p in parts)])
+        columns = [np.concatenate([np.cumsum(p[k]) if k < n - 1 else p[k] for p in parts]) for k in range(n)]
+        names = np.unique(np.concatenate([np.unique(c) for c in columns]))
+        columns = [np.searchsorted(names, c) for c in columns]
+        last = np.zeros(len(names), np.int64)
+        for p in parts:
+            last[np.searchsorted(names, p[n + 1])] = p[n + 2]
+        first, back = distinct(columns, len(names))
+        counts = added(back, np.concatenate([p[n] for p in parts]), len(first))
+        split = (np.concatenate([p[n + 3][:-1] for p in parts])[first] > hot) & (n > 2)
+        grams = Grams(names, last, [c[first] for c in columns], counts, split)
+        found = []
+        for k in range(2, n + 1):
+            at, _, c = grams.pairs(k)
+            found.append(histogram(c[~split[at]] if k == 2 else c).tolist())
+        lists = [np.diff(back[a:b], prepend=0).astype(np.int32) for a, b in zip(cuts[:-1], cuts[1:])]
+        whole = packed(np.array(numbers, np.int64), np.diff(cuts), np.concatenate(lists))
+        rows = [(COUNTS, -1, bucket, found, None), (GRAMS, len(whole), bucket, None, whole + grams.packed())]
+        if split.any():
+            at, _, c = grams.pairs(2)
+            at, c = at[split[at]], c[split[at]]
+            v, w = names[grams.columns[0][at]], names[grams.columns[-1][at]]
+            order, cut = dealt((v.astype(np.uint64) * ODD ^ w.astype(np.uint64)) * ODD, buckets)
             for b in range(buckets):
-                part = order[cuts[b] : cuts[b + 1]]
+                part = order[cut[b] : cut[b + 1]]
                 if len(part):
-                    small = w[part].astype(np.uint32) if int(w[part].max()) < 1 << 32 else w[part]
-                    # probabilities repeat: each is sent once, and which it is of every pair
-                    values, which = np.unique(lower[part], return_inverse=True)
-                    rows.append(packed(np.diff(c[part], prepend=np.uint64(0)), planes(small), np.array([small.itemsize], np.int64), count[part], values, which.astype(np.uint32)))
-                    at.append(number)
-                    to.append(b)
-        return pa.table({"bucket": pa.array(to, pa.int64()), "block": pa.array(at, pa.int64()), "blob": pa.array(rows, pa.binary())})
+                    rows.append((PAIRS, b, bucket, None, packed(v[part], w[part], c[part], last[grams.columns[-1][at[part]]])))
+        return kept_rows(rows)
+
+    return run
+
+
+def split_pairs(t: Totals):
+    """Counts of the pairs of split words for every partition that has them, and these words' totals here."""
+
+    def run(table: pa.Table) -> pa.Table:
+        to, parts = table.column("bucket").to_pylist(), [unpacked(x, *[np.int64] * 4) for x in table.column("blob").to_pylist()]
+        own = table.column("block")[0].as_py()
+        v, w, c, u = (np.concatenate([p[k] for p in parts]) for k in range(4))
+        first, back = distinct([np.unique(v, return_inverse=True)[1], np.unique(w, return_inverse=True)[1]], len(v) + 1)
+        counts = added(back, c, len(first))
+        words, of = np.unique(v[first], return_inverse=True)
+        total, few, mass = summed(of, counts, unigram(u[first], t), len(words))
+        cuts = np.cumsum([0, *(len(p[0]) for p in parts)])
+        rows = [(COUNTS, -1, own, [histogram(counts).tolist()], None), (TOTALS, -1, own, None, packed(words, total, few, mass))]
+        rows += [(PAIRS, own, b, None, packed(*parts[k][:2], counts[back[x:y]])) for k, (b, x, y) in enumerate(zip(to, cuts[:-1], cuts[1:]))]
+        return kept_rows(rows)
 
     return run
 
 
-def answer_pairs(table: pa.Table) -> pa.Table:
-    """For each block's pairs of a bucket, their total counts, and their contexts' totals."""
-    bucket, numbers = table.column("bucket")[0].as_py(), table.column("block").to_pylist()
-    contexts, words, counts, lowers = [], [], [], []
-    for x in table.column("blob").to_pylist():
-        c, w, wide, n, values, which = unpacked(x, np.uint64, None, np.int64, np.uint32, np.float64, np.uint32)
-        contexts.append(np.cumsum(c, dtype=np.uint64))
-        words.append(np.ascontiguousarray(np.frombuffer(w, np.uint8).reshape(int(wide[0]), -1).T).view(np.uint32 if wide[0] == 4 else np.uint64).reshape(-1).astype(np.uint64))
-        counts.append(n)
-        lowers.append(values[which])
-    cuts = np.cumsum([0, *map(len, contexts)])
-    c, w, back = pairs(np.concatenate(contexts), np.concatenate(words))
-    count = np.bincount(back, np.concatenate(counts).astype(float), len(c)).astype(np.int64)
-    lower = np.empty(len(c))
-    lower[back] = np.concatenate(lowers)
-    first = np.flatnonzero(np.append(True, c[1:] != c[:-1]))
-    of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(c))))
-    total = np.add.reduceat(count, first)
-    few = np.stack([np.bincount(of[count == r], minlength=len(first)) for r in range(1, DISCOUNTED + 1)], 1).astype(np.uint32)
-    mass = np.add.reduceat(np.where(count > 0, lower, 0.0), first)
-    rows = []
-    for a, b, own in zip(cuts[:-1], cuts[1:], contexts):
-        mine = of[back[a:b]]
-        heads = mine[np.append(True, own[1:] != own[:-1])]
-        rows.append(packed(count[back[a:b]].astype(np.uint32), total[heads], few[heads], mass[heads]))
-    return pa.table({"kind": pa.array([HISTOGRAM, *[ANSWER] * len(rows)], pa.int32()), "block": pa.array([-1, *numbers], pa.int64()), "bucket": pa.array([bucket] * (len(rows) + 1), pa.int64()), "blob": pa.array([packed(histogram(count)), *rows], pa.binary())})
-
-
-def totals_of(answers: DataFrame, first_order: bool) -> Totals:
-    """Adds up the partitions' histograms, a few numbers each, on the executors."""
-
-    def open_all(batches):
+def unigram(counts: np.ndarray, t: Totals) -> np.ndarray:
+    """Probabilities of words by their counts; unknown words have all the mass that discounts leave."""
+    return np.where(counts > 0, t.discount(counts) * counts / t.whole, t.left if t.tokens else 1.0)
+
+
+def summed(of: np.ndarray, counts: np.ndarray, lower: np.ndarray, contexts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each context: its count, how many of its followers were seen 1, 2, ... times, the lower order's mass of those seen."""
+    few = np.stack([np.bincount(of[counts == r], minlength=contexts) for r in range(1, DISCOUNTED + 1)], 1)
+    return added(of, counts, contexts), few, np.bincount(of, np.where(counts > 0, lower, 0.0), contexts)
+
+
+def evaluated(g: Grams, totals: list[Totals], pairs: dict, words: dict) -> np.ndarray:
+    """The probability of each n-gram. pairs: counts of (word, word) for split words; words: their totals."""
+    p = unigram(g.last[g.columns[-1]], totals[0])
+    unknown = np.array([totals[0].left if totals[0].tokens else 1.0])  # of each context of the order below
+    below = np.zeros(len(g.counts), np.int64)
+    for k in range(2, len(g.columns) + 1):
+        t, context = totals[k - 1], g.contexts(k)
+        heads = np.flatnonzero(np.diff(context, prepend=-1))
+        first, back, counts = g.pairs(k)
+        of, lower = context[first], p[first]
+        if k == 2 and pairs:
+            at = np.flatnonzero(g.split[first])
+            v, w = (g.names[g.columns[c][first[at]]].tolist() for c in (0, -1))
+            counts[at] = [pairs[x] for x in zip(v, w)]
+        total, few, mass = summed(of, counts, lower, len(heads))
+        if k == 2 and words:
+            for h in np.flatnonzero(g.split[heads]):
+                total[h], few[h], mass[h] = words[int(g.names[g.columns[0][heads[h]]])]
+        unseen = unknown[below[heads]]
+        held = (few * np.arange(1, DISCOUNTED + 1) * (1 - t.discounts[1:])).sum(1)  # counts that discounts take away
+        whole = np.maximum(total + (held <= 0), 1)
+        weight = np.where(held > 0, held, 1.0) / whole / np.maximum(1 - mass, unseen)
+        raised = np.where(counts > 0, t.discount(counts) * counts / whole[of], weight[of] * lower)
+        p = np.minimum(np.where(total[of] == 0, lower, raised), 1.0)[back]
+        unknown, below = np.where(total == 0, unseen, weight * unseen), context
+    return p
+
+
+def answer_grams(n: int, totals: list[Totals], words: dict):
+    """For each block the probabilities of what it asked for. Columns: bucket, block (where the lists end), blob, pairs."""
+
+    def run(batches):
         for batch in batches:
-            found = [unpacked(x, np.int64)[0].tolist() for x in batch.column("blob").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64()))], ["h"])
+            for bucket, end, blob, found in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "blob", "pairs"))):
+                numbers, sizes, lists = unpacked(blob[:end], np.int64, np.int64, np.int32)
+                known: dict = {}
+                for x in found or ():
+                    v, w, c = unpacked(x, *[np.int64] * 3)
+                    known.update(zip(zip(v.tolist(), w.tolist()), c.tolist()))
+                p = evaluated(Grams.unpacked(blob[end:], n), totals, known, words)
+                rows, at = [], 0
+                for size in sizes.tolist():
+                    # probabilities repeat: each is sent once, and which it is of every n-gram
+                    values, which = np.unique(p[np.cumsum(lists[at : at + size])], return_inverse=True)
+                    rows.append(packed(values, which.astype(np.uint32)))
+                    at += size
+                m = len(rows)
+                yield pa.RecordBatch.from_arrays([pa.array([GRAMS] * m, pa.int32()), pa.array(numbers), pa.array([bucket] * m, pa.int64()), pa.array(rows, pa.binary())], ["kind", "block", "bucket", "blob"])
+
+    return run
+
 
+def totals_of(rows: DataFrame, orders: int, first_order: bool) -> list[Totals]:
+    """Adds up the partitions' counts of counts, a few numbers each, on the executors."""
     size = DISCOUNTED + 3
-    h = answers.where(F.col("kind") == HISTOGRAM).select("blob").mapInArrow(open_all, "h array<long>").agg(*[F.sum(F.col("h")[k]) for k in range(size)]).first()
-    counts = np.array([x or 0 for x in h], np.int64)
-    t = Totals.of(counts)
-    r = np.arange(1, DISCOUNTED + 1)
-    held = float((counts[:DISCOUNTED] * r * (1 - t.discounts[1:])).sum())
-    # where all words are frequent, unknown words count once
-    t.whole = max(1, t.tokens + (held <= 0))
-    t.left = (held if held > 0 else 1.0) / t.whole if first_order else 0.0
-    return t
-
-
-def scores(totals, buckets: int, folds: int, left_out: int):
+    h = rows.where(F.col("kind") == COUNTS).agg(*[F.sum(F.get(F.get("counts", F.lit(j)), F.lit(k))) for j in range(orders) for k in range(size)]).first()
+    out = []
+    for j in range(orders):
+        counts = np.array([x or 0 for x in h[j * size : (j + 1) * size]], np.int64)
+        t = Totals.of(counts)
+        held = float((counts[:DISCOUNTED] * np.arange(1, DISCOUNTED + 1) * (1 - t.discounts[1:])).sum())
+        # where all words are frequent, unknown words count once
+        t.whole = max(1, t.tokens + (held <= 0))
+        t.left = (held if held > 0 else 1.0) / t.whole if first_order else 0.0
+        out.append(t)
+    return out
+
+
+def scores(n: int, totals: list[Totals], buckets: int, hot: int):
     """The rows of a block's documents."""
 
     def run(key, own: pa.Table, answers: pa.Table) -> pa.Table:
         parts = []
-        for e in evaluation(own, answers, totals, buckets, folds, left_out):
-            t, n, v = e.tokens, totals[0].tokens, totals[0].seen
+        for blob in own.column("blob").to_pylist():
+            e = Asked(Tokens.read(blob), answers, n, buckets, hot)
+            t, tokens, seen = e.tokens, totals[0].tokens, totals[0].seen
+            p = unigram(e.counts, totals[0]) if n == 1 else e.probabilities(answers)
             sizes = np.diff(np.append(t.starts, len(t.of)))
-            base = np.add.reduceat(np.log10((e.counts + 1) / (n + v + 1)), t.starts)
-            score = np.add.reduceat(np.log10(np.maximum(e.p, 1e-300)), t.starts)
+            base = np.add.reduceat(np.log10((e.counts + 1) / (tokens + seen + 1)), t.starts)
+            score = np.add.reduceat(np.log10(np.maximum(p, 1e-300)), t.starts)
             known = np.add.reduceat((e.counts > 0).astype(np.int64), t.starts)
-            parts.append(pa.Table.from_arrays([id_array(t.block.ids), pa.array(t.held_out), pa.array(sizes), pa.array(known), pa.array(np.full(len(sizes), n)), pa.array(base), pa.array(score)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
+            parts.append(pa.Table.from_arrays([id_array(t.ids), pa.array(t.held_out), pa.array(sizes), pa.array(known), pa.array(np.full(len(sizes), tokens)), pa.array(base), pa.array(score)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
         return pa.concat_tables(parts)
 
     return run
 
 
-def score(docs: DataFrame, order: int = 2, folds: int = 7, left_out: int = 2, block_bytes: int = 6_000_000, bucket_bytes: int = 8_000_000) -> DataFrame:
+def split_totals(rows: DataFrame) -> dict:
+    """Totals of the split words: at most tokens / hot entries."""
+    out: dict = {}
+    for r in rows.where(F.col("kind") == TOTALS).select("blob").toLocalIterator():
+        words, total, few, mass = unpacked(bytes(r.blob), np.int64, np.int64, np.int64, np.float64)
+        for w, t, f, m in zip(words.tolist(), total.tolist(), few.reshape(-1, DISCOUNTED), mass.tolist()):
+            a = out.get(w)
+            out[w] = (t, f, m) if a is None else (a[0] + t, a[1] + f, a[2] + m)
+    return out
+
+
+def score(docs: DataFrame, order: int = 2, folds: int = 7, left_out: int = 2, block_bytes: int = 6_000_000, bucket_bytes: int = 8_000_000, hot: int = 2_000_000) -> DataFrame:
     """Score every whole text by a model of that order, learned from all texts outside the fold left out."""
-    source = blocks(docs, block_bytes)
+    source = blocks(docs, block_bytes, numbered(folds, left_out))
     size = source.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     source = source.select("block", "blob")
     buckets = max(8, -(-size // bucket_bytes))
-    asked = source.mapInArrow(ask_words(buckets, folds, left_out), ASKED)
-    tables = [stored(asked.groupBy("bucket").applyInArrow(answer_words(buckets), ANSWERS), "word-counts")]
-    totals = [totals_of(tables[0], True)]
-
-    def known() -> DataFrame:
-        out = None
-        for level, t in enumerate(tables, 1):
-            part = t.where(F.col("kind") == ANSWER).select(F.lit(level).alias("level"), "block", "bucket", "blob")
-            out = part if out is None else out.unionByName(part)
-        return out
-
-    for n in range(2, order + 1):
-        asked = source.groupBy("block").cogroup(known().groupBy("block")).applyInArrow(ask_pairs(n, list(totals), buckets, folds, left_out), ASKED)
-        tables.append(stored(asked.groupBy("bucket").applyInArrow(answer_pairs, ANSWERS), f"counts-of-{n}"))
-        totals.append(totals_of(tables[-1], False))
-    return source.groupBy("block").cogroup(known().groupBy("block")).applyInArrow(scores(totals, buckets, folds, left_out), SCHEMA)
+    words = stored(source.mapInArrow(ask_words(buckets), ASKED).groupBy("bucket").applyInArrow(answer_words(buckets), KEPT), "word-counts")
+    totals = totals_of(words, 1, True)
+    answers = words.where(F.col("kind") == ANSWER).select("kind", "block", "bucket", "blob")
+    if order > 1:
+        asked = source.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(ask_grams(order, buckets, hot), ASKED)
+        grams = stored(asked.groupBy("bucket").applyInArrow(merge_grams(order, buckets, hot), KEPT), "n-grams")
+        pairs = grams.where(F.col("kind") == PAIRS).select("block", "bucket", "blob")
+        rows = grams.where(F.col("kind") == COUNTS)
+        split, found = {}, pairs.select("bucket", F.array("blob").alias("pairs")).limit(0)
+        if not pairs.isEmpty():
+            summed_up = stored(pairs.groupBy("block").applyInArrow(split_pairs(totals[0]), KEPT), "split-pairs")
+            split = split_totals(summed_up)
+            rows = rows.unionByName(summed_up.where(F.col("kind") == COUNTS))
+            found = summed_up.where(F.col("kind") == PAIRS).groupBy("bucket").agg(F.collect_list("blob").alias("pairs"))
+        totals += totals_of(rows, order - 1, False)
+        kept = grams.where(F.col("kind") == GRAMS).select("bucket", "block", "blob").join(found, "bucket", "left")
+        answers = answers.unionByName(kept.mapInArrow(answer_grams(order, totals, split), "kind int, block long, bucket long, blob binary"))
+    return source.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scores(order, totals, buckets, hot), SCHEMA)
