@@ -61,22 +61,22 @@ class Block:
         return cls(*unpacked(blob, np.int64, np.int64, None))
 
 
-def whole_texts(ids: np.ndarray, texts: list[bytes]) -> bytes:
-    return packed(ids, np.array([len(t) for t in texts], np.int64), b"".join(texts), level=8)
+def whole_texts(ids: np.ndarray, texts: list[bytes]) -> tuple[bytes]:
+    return (packed(ids, np.array([len(t) for t in texts], np.int64), b"".join(texts), level=8),)
 
 
-def blocks(docs: DataFrame, block_bytes: int = 4_000_000, pack=whole_texts) -> DataFrame:
+def blocks(docs: DataFrame, block_bytes: int = 4_000_000, pack=whole_texts, columns: tuple[str, ...] = ("blob",)) -> DataFrame:
     """(block, n_bytes, blob): every document's id and whole text, in blocks of about block_bytes or one longer text.
 
-    pack: makes the blob of a block's ids and texts.
+    pack: makes what is kept of a block's ids and texts, a value for each of the columns.
     """
 
     def run(batches):
         number, ids, texts, size = TaskContext.get().partitionId() << 24, [], [], 0
 
         def close():
-            blob = pack(np.array(ids, np.int64), texts)
-            return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([size]), pa.array([blob], pa.binary())], ["block", "n_bytes", "blob"])
+            blobs = pack(np.array(ids, np.int64), texts)
+            return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([size]), *(pa.array([x], pa.binary()) for x in blobs)], ["block", "n_bytes", *columns])
 
         for batch in batches:
             for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -91,7 +91,7 @@ def blocks(docs: DataFrame, block_bytes: int = 4_000_000, pack=whole_texts) -> D
             yield close()
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return stored(source.mapInArrow(run, "block long, n_bytes long, blob binary"), "blocks")
+    return stored(source.mapInArrow(run, "block long, n_bytes long" + "".join(f", {c} binary" for c in columns)), "blocks")
 
 
 def id_array(ids: np.ndarray) -> pa.Array:

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm.blocks import NO_ID, blocks, dealt, id_array, packed, unpacked
-from pagewright.llm.common import stored
+from pagewright.llm.common import stored, work_folder
 
 #: Counts up to DISCOUNTED are discounted.
 DISCOUNTED = 5
@@ -57,9 +57,9 @@ COUNTS, ANSWER, GRAMS, PAIRS, TOTALS = range(5)
 
 
 def numbered(folds: int, left_out: int):
-    """Packs a block: ids, whether held out, sizes, tokens as numbers of the block's distinct words, these words' hashes."""
+    """Packs a block: ids, whether held out, sizes, tokens as numbers of the block's distinct words, these by hash; and the hashes."""
 
-    def pack(ids: np.ndarray, texts: list[bytes]) -> bytes:
+    def pack(ids: np.ndarray, texts: list[bytes]) -> tuple[bytes, bytes]:
         known: dict[bytes, int] = {END: 0}
         parts, sizes = [np.zeros(0, np.uint32)], []
         for text in texts:
@@ -67,26 +67,27 @@ def numbered(folds: int, left_out: int):
             parts.append(np.array([known.setdefault(w, len(known)) for w in words] + [0], np.uint32))
             sizes.append(len(words) + 1)
         hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in known), np.uint64, len(known))
+        order = np.argsort(hashes)
         held = np.array([i != NO_ID and zlib.crc32(str(i).encode()) % folds == left_out for i in ids.tolist()], np.uint8)
-        return packed(ids, held, np.array(sizes, np.int64), np.concatenate(parts), hashes, level=8)
+        return packed(ids, held, np.array(sizes, np.int64), np.concatenate(parts), order.astype(np.uint32)), packed(np.diff(hashes[order], prepend=np.uint64(0)))
 
     return pack
 
 
 @dataclass
 class Tokens:
-    """A block's tokens as numbers of its distinct words, and where texts begin."""
+    """A block's tokens as numbers of its distinct words, where texts begin, and the words' order by hash."""
 
     ids: np.ndarray
     held_out: np.ndarray
     of: np.ndarray
     starts: np.ndarray
-    hashes: np.ndarray
+    order: np.ndarray
 
     @classmethod
     def read(cls, blob: bytes) -> Tokens:
-        ids, held, sizes, of, hashes = unpacked(blob, np.int64, np.uint8, np.int64, np.uint32, np.uint64)
-        return cls(ids, held.astype(bool), of.astype(np.int64), np.cumsum(sizes) - sizes, hashes)
+        ids, held, sizes, of, order = unpacked(blob, np.int64, np.uint8, np.int64, np.uint32, np.uint32)
+        return cls(ids, held.astype(bool), of.astype(np.int64), np.cumsum(sizes) - sizes, order.astype(np.int64))
 
     @property
     def trains(self) -> np.ndarray:
@@ -127,24 +128,18 @@ def histogram(counts: np.ndarray) -> np.ndarray:
     return np.concatenate([few[1 : DISCOUNTED + 2], [counts.sum(), (counts > 0).sum()]]).astype(np.int64)
 
 
-def dealt_sorted(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """As dealt(), ascending in each bucket."""
-    up = np.argsort(hashes)
-    order, cuts = dealt(hashes[up], buckets)
-    return up[order], cuts
-
-
 def ask_words(buckets: int):
-    """Per block and bucket, distinct words' hashes and their training counts."""
+    """Per block and bucket, a range of hashes, distinct words' hashes and their training counts."""
 
     def run(batches):
         for batch in batches:
-            for number, blob in zip(batch.column("block").to_pylist(), batch.column("blob").to_pylist()):
-                t = Tokens.read(blob)
-                counts = np.bincount(t.of[t.trains], minlength=len(t.hashes))
-                order, cuts = dealt_sorted(t.hashes, buckets)
+            for number, blob, words in zip(*(batch.column(c).to_pylist() for c in ("block", "blob", "words"))):
+                t, hashes = Tokens.read(blob), np.cumsum(unpacked(words, np.uint64)[0], dtype=np.uint64)
+                counts = np.bincount(t.of[t.trains], minlength=len(t.order))[t.order]
+                cuts = np.searchsorted(hashes, np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64))
+                cuts = np.concatenate([[0], cuts, [len(hashes)]])
                 full = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-                rows = [packed(np.diff(t.hashes[order[cuts[b] : cuts[b + 1]]], prepend=np.uint64(0)), counts[order[cuts[b] : cuts[b + 1]]]) for b in full]
+                rows = [packed(np.diff(hashes[cuts[b] : cuts[b + 1]], prepend=np.uint64(0)), counts[cuts[b] : cuts[b + 1]]) for b in full]
                 yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array([number] * len(full), pa.int64()), pa.array(rows, pa.binary())], ["bucket", "block", "blob"])
 
     return run
@@ -176,6 +171,8 @@ def answer_words(buckets: int):
 
 def added(of: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """Sums of whole numbers, in 64 bits."""
+    if values.sum(dtype=float) < 1 << 52:
+        return np.bincount(of, values, n).astype(np.int64)
     out = np.zeros(n, np.int64)
     np.add.at(out, of, values)
     return out
@@ -204,12 +201,10 @@ class Asked:
 
     def __init__(self, tokens: Tokens, answers: pa.Table, n: int, buckets: int, hot: int):
         self.tokens = tokens
-        order, cuts = dealt_sorted(tokens.hashes, buckets)
-        names, counts = np.zeros(len(tokens.hashes), np.int64), np.zeros(len(tokens.hashes), np.int64)
-        for kind, bucket, blob in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "blob"))):
-            if kind == ANSWER:
-                own = order[cuts[bucket] : cuts[bucket + 1]]
-                names[own], counts[own] = unpacked(blob, np.int64, np.int64)
+        found = sorted((b, x) for kind, b, x in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "blob"))) if kind == ANSWER)
+        names, counts = np.zeros(len(tokens.order), np.int64), np.zeros(len(tokens.order), np.int64)
+        # buckets are ranges of hashes: one behind another they are all words in order
+        names[tokens.order], counts[tokens.order] = (np.concatenate(x) for x in zip(*(unpacked(blob, np.int64, np.int64) for _, blob in found)))
         self.counts = counts[tokens.of]
         if n == 1:
             return
@@ -231,18 +226,20 @@ class Asked:
         key = self.names[self.grams[0]].astype(np.uint64) * ODD
         if n > 2:
             far = (key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + self.names[self.grams[1]].astype(np.uint64) * ODD
-            key = np.where(self.count_of[self.grams[0]] > hot, far ^ (far >> np.uint64(31)), key)
+            self.split = self.count_of[self.grams[0]] > hot
+            key = np.where(self.split, far ^ (far >> np.uint64(31)), key)
         self.order, self.cuts = dealt(key, buckets)
 
     def requests(self, buckets: int):
-        """(bucket, blob) of what is asked: n-grams, their training counts, and the counts of their last words."""
+        """(bucket, blob) of what is asked: words' numbers and counts, n-grams of these, their training counts, and which have a split word."""
         count = np.bincount(self.back[self.tokens.trains], minlength=len(self.grams[0]))
         for b in range(buckets):
             part = self.order[self.cuts[b] : self.cuts[b + 1]]
             if len(part):
-                columns = [self.names[g[part]] for g in self.grams]
-                last = np.unique(self.grams[-1][part])
-                yield b, packed(*(np.diff(c, prepend=0) for c in columns[:-1]), columns[-1], count[part], self.names[last], self.count_of[last], np.append(self.count_of[self.grams[0][part]], 0))
+                used, columns = np.unique(np.stack([g[part] for g in self.grams]), return_inverse=True)
+                columns = columns.reshape(len(self.grams), -1)
+                split = self.split[part] if len(self.grams) > 2 else np.zeros(len(part), bool)
+                yield b, packed(np.diff(self.names[used], prepend=0), self.count_of[used], np.diff(columns[0], prepend=0).astype(np.int32), columns[1:].astype(np.uint32).ravel(), count[part], np.packbits(split))
 
     def probabilities(self, answers: pa.Table) -> np.ndarray:
         """Of every token, from the partitions' answers."""
@@ -300,22 +297,25 @@ def ask_grams(n: int, buckets: int, hot: int):
     return run
 
 
-def merge_grams(n: int, buckets: int, hot: int):
+def merge_grams(n: int, buckets: int):
     """One row with a partition's n-grams and which of them each block asked for; its counts of counts; pairs of split words."""
 
     def run(table: pa.Table) -> pa.Table:
         bucket, numbers = table.column("bucket")[0].as_py(), table.column("block").to_pylist()
-        parts = [unpacked(x, *[np.int64] * (n + 4)) for x in table.column("blob").to_pylist()]
-        cuts = np.cumsum([0, *(len(p[n]) for p in parts)])
-        columns = [np.concatenate([np.cumsum(p[k]) if k < n - 1 else p[k] for p in parts]) for k in range(n)]
-        names = np.unique(np.concatenate([np.unique(c) for c in columns]))
-        columns = [np.searchsorted(names, c) for c in columns]
+        parts = [unpacked(x, np.int64, np.int64, np.int32, np.uint32, np.int64, np.uint8) for x in table.column("blob").to_pylist()]
+        cuts = np.cumsum([0, *(len(p[4]) for p in parts)])
+        own_names = [np.cumsum(p[0]) for p in parts]
+        names = np.unique(np.concatenate(own_names))
         last = np.zeros(len(names), np.int64)
-        for p in parts:
-            last[np.searchsorted(names, p[n + 1])] = p[n + 2]
-        first, back = distinct(columns, len(names))
-        counts = added(back, np.concatenate([p[n] for p in parts]), len(first))
-        split = (np.concatenate([p[n + 3][:-1] for p in parts])[first] > hot) & (n > 2)
+        columns = np.empty((n, cuts[-1]), np.int64)
+        for p, own, a, b in zip(parts, own_names, cuts[:-1], cuts[1:]):
+            place = np.searchsorted(names, own)
+            last[place] = p[1]
+            columns[0, a:b] = place[np.cumsum(p[2], dtype=np.int64)]
+            columns[1:, a:b] = place[p[3].reshape(n - 1, -1)]
+        first, back = distinct(list(columns), len(names))
+        counts = added(back, np.concatenate([p[4] for p in parts]), len(first))
+        split = np.concatenate([np.unpackbits(p[5], count=len(p[4])) for p in parts]).astype(bool)[first]
         grams = Grams(names, last, [c[first] for c in columns], counts, split)
         found = []
         for k in range(2, n + 1):
@@ -396,17 +396,37 @@ def evaluated(g: Grams, totals: list[Totals], pairs: dict, words: dict) -> np.nd
     return p
 
 
-def answer_grams(n: int, totals: list[Totals], words: dict):
-    """For each block the probabilities of what it asked for. Columns: bucket, block (where the lists end), blob, pairs."""
+def pair_files(pairs: DataFrame, files: int) -> str:
+    """The counts of pairs, in a folder for each remainder of the partition's number: a partition reads its own, n-grams aren't moved."""
+    path = work_folder(pairs.sparkSession, "split-pairs")
+    rows = pairs.select("bucket", "blob", F.pmod("bucket", F.lit(files)).alias("file"))
+    rows.repartition(files, "file").sortWithinPartitions("file", "bucket").write.partitionBy("file").parquet(path)
+    return path
+
+
+def answer_grams(n: int, totals: list[Totals], words: dict, folder: str | None, files: int):
+    """For each block the probabilities of what it asked for. Columns: bucket, block (where the lists end), blob."""
+
+    def pairs(bucket: int) -> dict:
+        if folder is None:
+            return {}
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(folder)
+        own = f"{base}/file={bucket % files}"
+        known: dict = {}
+        if store.get_file_info(own).type != fs.FileType.NotFound:
+            for x in pq.read_table(own, filesystem=store, columns=["bucket", "blob"], filters=[("bucket", "=", bucket)], partitioning=None).column("blob").to_pylist():
+                v, w, c = unpacked(x, *[np.int64] * 3)
+                known.update(zip(zip(v.tolist(), w.tolist()), c.tolist()))
+        return known
 
     def run(batches):
         for batch in batches:
-            for bucket, end, blob, found in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "blob", "pairs"))):
+            for bucket, end, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "blob"))):
                 numbers, sizes, lists = unpacked(blob[:end], np.int64, np.int64, np.int32)
-                known: dict = {}
-                for x in found or ():
-                    v, w, c = unpacked(x, *[np.int64] * 3)
-                    known.update(zip(zip(v.tolist(), w.tolist()), c.tolist()))
+                known = pairs(bucket)
                 p = evaluated(Grams.unpacked(blob[end:], n), totals, known, words)
                 rows, at = [], 0
                 for size in sizes.tolist():
@@ -468,25 +488,25 @@ def split_totals(rows: DataFrame) -> dict:
 
 def score(docs: DataFrame, order: int = 2, folds: int = 7, left_out: int = 2, block_bytes: int = 6_000_000, bucket_bytes: int = 8_000_000, hot: int = 2_000_000) -> DataFrame:
     """Score every whole text by a model of that order, learned from all texts outside the fold left out."""
-    source = blocks(docs, block_bytes, numbered(folds, left_out))
+    source = blocks(docs, block_bytes, numbered(folds, left_out), ("blob", "words"))
     size = source.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
-    source = source.select("block", "blob")
     buckets = max(8, -(-size // bucket_bytes))
-    words = stored(source.mapInArrow(ask_words(buckets), ASKED).groupBy("bucket").applyInArrow(answer_words(buckets), KEPT), "word-counts")
+    words = stored(source.select("block", "blob", "words").mapInArrow(ask_words(buckets), ASKED).groupBy("bucket").applyInArrow(answer_words(buckets), KEPT), "word-counts")
+    source = source.select("block", "blob")
     totals = totals_of(words, 1, True)
     answers = words.where(F.col("kind") == ANSWER).select("kind", "block", "bucket", "blob")
     if order > 1:
         asked = source.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(ask_grams(order, buckets, hot), ASKED)
-        grams = stored(asked.groupBy("bucket").applyInArrow(merge_grams(order, buckets, hot), KEPT), "n-grams")
+        grams = stored(asked.groupBy("bucket").applyInArrow(merge_grams(order, buckets), KEPT), "n-grams")
         pairs = grams.where(F.col("kind") == PAIRS).select("block", "bucket", "blob")
         rows = grams.where(F.col("kind") == COUNTS)
-        split, found = {}, pairs.select("bucket", F.array("blob").alias("pairs")).limit(0)
+        split, folder, files = {}, None, min(buckets, 10_000)
         if not pairs.isEmpty():
-            summed_up = stored(pairs.groupBy("block").applyInArrow(split_pairs(totals[0]), KEPT), "split-pairs")
+            summed_up = stored(pairs.groupBy("block").applyInArrow(split_pairs(totals[0]), KEPT), "split-words")
             split = split_totals(summed_up)
             rows = rows.unionByName(summed_up.where(F.col("kind") == COUNTS))
-            found = summed_up.where(F.col("kind") == PAIRS).groupBy("bucket").agg(F.collect_list("blob").alias("pairs"))
+            folder = pair_files(summed_up.where(F.col("kind") == PAIRS), files)
         totals += totals_of(rows, order - 1, False)
-        kept = grams.where(F.col("kind") == GRAMS).select("bucket", "block", "blob").join(found, "bucket", "left")
-        answers = answers.unionByName(kept.mapInArrow(answer_grams(order, totals, split), "kind int, block long, bucket long, blob binary"))
+        kept = grams.where(F.col("kind") == GRAMS).select("bucket", "block", "blob")
+        answers = answers.unionByName(kept.mapInArrow(answer_grams(order, totals, split, folder, files), "kind int, block long, bucket long, blob binary"))
     return source.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scores(order, totals, buckets, hot), SCHEMA)
