@@ -287,12 +287,15 @@ class Grams:
         return cls(np.cumsum(names), last, [*(np.cumsum(c, dtype=np.int64) for c in columns[:-1]), columns[-1].astype(np.int64)], counts, np.unpackbits(split, count=len(counts)).astype(bool))
 
 
-def ask_grams(n: int, buckets: int, hot: int):
-    """Per block and bucket, distinct n-grams."""
+def ask_grams(n: int, buckets: int, hot: int, folder: str, files: int):
+    """Per block and bucket, distinct n-grams; what is known of the block's words is read from the folder, blocks aren't moved."""
 
-    def run(key, own: pa.Table, answers: pa.Table) -> pa.Table:
-        rows = [(b, number, blob) for number, x in zip(own.column("block").to_pylist(), own.column("blob").to_pylist()) for b, blob in Asked(Tokens.read(x), answers, n, buckets, hot).requests(buckets)]
-        return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], ["bucket", "block", "blob"])
+    def run(batches):
+        for batch in batches:
+            for number, blob in zip(batch.column("block").to_pylist(), batch.column("blob").to_pylist()):
+                answers = filed_rows(folder, files, "block", number)
+                rows = list(Asked(Tokens.read(blob), answers, n, buckets, hot).requests(buckets))
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([number] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "block", "blob"])
 
     return run
 
@@ -396,30 +399,35 @@ def evaluated(g: Grams, totals: list[Totals], pairs: dict, words: dict) -> np.nd
     return p
 
 
-def pair_files(pairs: DataFrame, files: int) -> str:
-    """The counts of pairs, in a folder for each remainder of the partition's number: a partition reads its own, n-grams aren't moved."""
-    path = work_folder(pairs.sparkSession, "split-pairs")
-    rows = pairs.select("bucket", "blob", F.pmod("bucket", F.lit(files)).alias("file"))
-    rows.repartition(files, "file").sortWithinPartitions("file", "bucket").write.partitionBy("file").parquet(path)
+def filed(rows: DataFrame, key: str, files: int, name: str) -> str:
+    """Rows of (kind, block, bucket, blob) in a folder for each remainder of the key: who needs a key's rows reads them there."""
+    path = work_folder(rows.sparkSession, name)
+    rows = rows.select("kind", "block", "bucket", "blob", F.pmod(key, F.lit(files)).alias("file"))
+    rows.repartition(files, "file").sortWithinPartitions("file", key).write.partitionBy("file").parquet(path)
     return path
 
 
+def filed_rows(folder: str, files: int, key: str, value: int) -> pa.Table:
+    """The rows of one key, in no order."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    store, base = fs.FileSystem.from_uri(folder)
+    own = f"{base}/file={value % files}"
+    names = ["kind", "block", "bucket", "blob"]
+    if store.get_file_info(own).type == fs.FileType.NotFound:
+        return pa.table({c: [] for c in names})
+    return pq.read_table(own, filesystem=store, columns=names, filters=[(key, "=", value)], partitioning=None)
+
+
 def answer_grams(n: int, totals: list[Totals], words: dict, folder: str | None, files: int):
     """For each block the probabilities of what it asked for. Columns: bucket, block (where the lists end), blob."""
 
     def pairs(bucket: int) -> dict:
-        if folder is None:
-            return {}
-        import pyarrow.parquet as pq
-        from pyarrow import fs
-
-        store, base = fs.FileSystem.from_uri(folder)
-        own = f"{base}/file={bucket % files}"
         known: dict = {}
-        if store.get_file_info(own).type != fs.FileType.NotFound:
-            for x in pq.read_table(own, filesystem=store, columns=["bucket", "blob"], filters=[("bucket", "=", bucket)], partitioning=None).column("blob").to_pylist():
-                v, w, c = unpacked(x, *[np.int64] * 3)
-                known.update(zip(zip(v.tolist(), w.tolist()), c.tolist()))
+        for x in filed_rows(folder, files, "bucket", bucket).column("blob").to_pylist() if folder else ():
+            v, w, c = unpacked(x, *[np.int64] * 3)
+            known.update(zip(zip(v.tolist(), w.tolist()), c.tolist()))
         return known
 
     def run(batches):
@@ -427,7 +435,9 @@ def answer_grams(n: int, totals: list[Totals], words: dict, folder: str | None,
             for bucket, end, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "blob"))):
                 numbers, sizes, lists = unpacked(blob[:end], np.int64, np.int64, np.int32)
                 known = pairs(bucket)
+                # 41 bits of each probability: a sum of a million logarithms is off by less than 1e-6
                 p = evaluated(Grams.unpacked(blob[end:], n), totals, known, words)
+                p = ((p.view(np.uint64) + np.uint64(0x800)) & ~np.uint64(0xFFF)).view(np.float64)
                 rows, at = [], 0
                 for size in sizes.tolist():
                     # probabilities repeat: each is sent once, and which it is of every n-gram
@@ -496,7 +506,8 @@ def score(docs: DataFrame, order: int = 2, folds: int = 7, left_out: int = 2, bl
     totals = totals_of(words, 1, True)
     answers = words.where(F.col("kind") == ANSWER).select("kind", "block", "bucket", "blob")
     if order > 1:
-        asked = source.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(ask_grams(order, buckets, hot), ASKED)
+        files = min(max(1, source.count()), 10_000)
+        asked = source.mapInArrow(ask_grams(order, buckets, hot, filed(answers, "block", files, "words"), files), ASKED)
         grams = stored(asked.groupBy("bucket").applyInArrow(merge_grams(order, buckets), KEPT), "n-grams")
         pairs = grams.where(F.col("kind") == PAIRS).select("block", "bucket", "blob")
         rows = grams.where(F.col("kind") == COUNTS)
@@ -505,7 +516,7 @@ def score(docs: DataFrame, order: int = 2, folds: int = 7, left_out: int = 2, bl
             summed_up = stored(pairs.groupBy("block").applyInArrow(split_pairs(totals[0]), KEPT), "split-words")
             split = split_totals(summed_up)
             rows = rows.unionByName(summed_up.where(F.col("kind") == COUNTS))
-            folder = pair_files(summed_up.where(F.col("kind") == PAIRS), files)
+            folder = filed(summed_up.where(F.col("kind") == PAIRS), "bucket", files, "split-pairs")
         totals += totals_of(rows, order - 1, False)
         kept = grams.where(F.col("kind") == GRAMS).select("bucket", "block", "blob")
         answers = answers.unionByName(kept.mapInArrow(answer_grams(order, totals, split, folder, files), "kind int, block long, bucket long, blob binary"))
