@@ -64,6 +64,41 @@ def read_pdf(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(blocks_of, BLOCKS)
 
 
+CONTENTS = "book_id string, entry_idx int, level int, title string, page int"
+SPANS = "book_id string, page_num int, text string, size double, y0 double"
+
+
+def read_pdf_contents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Entries of PDF files' tables of contents, and the spans of the pages that these name; needs PyMuPDF."""
+    import importlib.util
+
+    if importlib.util.find_spec("fitz") is None:
+        raise RuntimeError("reading PDF files needs the PyMuPDF package, which is not installed here")
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+
+    def rows_of(of):
+        def run(batches):
+            import fitz
+            import pandas as pd
+
+            for batch in batches:
+                for uri, content in zip(batch["path"], batch["content"]):
+                    with fitz.open(stream=content, filetype="pdf") as doc:
+                        yield pd.DataFrame(of(uri.rsplit("/", 1)[-1].rsplit(".", 1)[0], doc))
+
+        return run
+
+    def entries(book, doc):
+        return {c: x for c, x in zip(("book_id", "entry_idx", "level", "title", "page"), zip(*[(book, k, level, str(title or "").strip(), page) for k, (level, title, page) in enumerate(doc.get_toc() or [])]))}
+
+    def spans(book, doc):
+        named = sorted({p for _, _, p in doc.get_toc() or [] if 1 <= p <= len(doc)})
+        found = [(book, p, s.get("text") or "", s.get("size", 0.0), s["bbox"][1]) for p in named for b in doc[p - 1].get_text("dict").get("blocks", []) for line in b.get("lines", []) for s in line.get("spans", [])]
+        return {c: x for c, x in zip(("book_id", "page_num", "text", "size", "y0"), zip(*found))}
+
+    return files.mapInPandas(rows_of(entries), CONTENTS), files.mapInPandas(rows_of(spans), SPANS)
+
+
 def pages(blocks: DataFrame, first: int, end: int) -> DataFrame:
     """The half-open range of pages counted from 0: pages first + 1 to end. Pushed down to the scan."""
     return blocks.where(F.col("page_num").between(first + 1, end))
