@@ -1,7 +1,8 @@
 """The driver's queries over its tables, one for each operator, on whole tables.
 
 A document stands for a book (its lines are blocks), benchmark items for concepts, conversations for questions and
-solutions, labels for validations.  Small literal tables stand where the fixtures have nothing of the kind.
+solutions, labels for validations.  Where the tables have nothing of the kind (numbered equations, references, page
+lists), texts are made of their rows by expressions that the SQL repeats; what is found in them is worked out there.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pagewright.functions import blocktext as bt
 from pagewright.functions import formula as fx
 from pagewright.functions.strings import is_upper, jaccard, squeeze, strip, words
-from pagewright.operators import chapters, concepts, context, formulas, furniture, linking, solutions
+from pagewright.operators import chapters, concepts, context, formulas, furniture, linking, providers, solutions
 from pagewright.sources import blocks as blocks_source
 from pagewright.sources import catalog
 
@@ -103,13 +104,6 @@ def usage_classify(spark, d):
     return blocks(spark, d).select("book_id", "block_idx", fx.usage(near).alias("usage_type"))
 
 
-@query
-def equation_labels(spark, d):
-    rows = ["E(r) = r_f (9.1)", "Eq. 5.1", "Eq. (5.1)", "Equation 3.4 holds", "none here", "(12.34)"]
-    t = spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "i int, text string")
-    return t.select("i", fx.equation_number(F.col("text"), F.lit(None).cast("string")).alias("number"), fx.is_equation_label(F.col("text")).alias("is_label"), fx.is_simple(F.col("text")).alias("is_simple"))
-
-
 @query
 def header_score(spark, d):
     t = text_blocks(spark, d)
@@ -142,25 +136,6 @@ def section_forward_fill(spark, d):
     return context.forward_filled(t, upper, [F.col("block_idx")], "heading").select("book_id", "block_idx", "heading")
 
 
-@query
-def reference_markers(spark, d):
-    rows = ["See Table 9.1 and Figure 3.2.", "Appendix A; section 4.5b", "no marks", "Exhibit 7 beats chapter 12"]
-    t = spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "i int, text string")
-    return t.select("i", F.explode(bt.reference_markers(F.col("text"))).alias("m")).select("i", "m.ref_type", "m.ref_id")
-
-
-@query
-def split_numbered(spark, d):
-    t = spark.createDataFrame([(0, "intro\n1. Find x\n2. Find y\nmore"), (1, "none"), (2, "3) only")], "i int, text string")
-    return t.select("i", F.posexplode(bt.numbered_chunks(F.col("text"))).alias("nth", "chunk"))
-
-
-@query
-def question_parts(spark, d):
-    t = spark.createDataFrame([(0, "A. one B. two"), (1, "A. one\nB. two"), (2, "(a) first (b) second")], "i int, text string")
-    return t.select("i", F.array_join(bt.choices(F.col("text")), "|").alias("choices"), F.array_join(F.transform(bt.subparts(F.col("text")), lambda p: F.concat(p["label"], F.lit("="), p["text"])), "|").alias("subparts"))
-
-
 @query
 def variable_candidates(spark, d):
     t = table(spark, d, "benchmark")
@@ -181,12 +156,6 @@ def best_definition(spark, d):
     return formulas.best_definitions(v, ["scope"]).select("symbol", "meaning", "source")
 
 
-@query
-def parse_pages(spark, d):
-    t = spark.createDataFrame([(0, "3-5, 7; 9"), (1, "p. 12"), (2, None), (3, "9-7"), (4, "2, 2, 1")], "i int, pages string")
-    return t.select("i", F.array_join(catalog.parsed_pages(F.col("pages")).cast("array<string>"), ",").alias("pages"))
-
-
 @query
 def ngrams(spark, d):
     t = table(spark, d, "benchmark")
@@ -224,15 +193,6 @@ def embedding_cosine_top5(spark, d):
     return pairs.withColumn("place", place).where("place <= 5")
 
 
-@query
-def phrase_match(spark, d):
-    docs = table(spark, d, "documents").select(F.col("doc_id"), F.col("text").alias("body_text"))
-    c = concept_table(spark, d)
-    w = docs.select("doc_id", "body_text", F.explode(F.array_distinct(words(concepts.normalized(F.col("body_text"))))).alias("w"))
-    heads = c.select("concept_id", "name", F.element_at(words(F.col("name")), 1).alias("w"))
-    return w.join(heads, "w").where(concepts.has_phrase(F.col("body_text"), F.col("name"))).select("doc_id", "concept_id")
-
-
 @query
 def page_proximity(spark, d):
     b = blocks(spark, d).select("book_id", "page_num").distinct()
@@ -242,14 +202,6 @@ def page_proximity(spark, d):
     return near.select("book_id", "page_num", "concept_id", points.alias("points"))
 
 
-@query
-def concept_score(spark, d):
-    """Conversation turns against concepts that share a word or letters of the name or a near page: all that score."""
-    t = table(spark, d, "conversations").select(F.struct("conv_id", "turn").alias("segment_id"), F.lit("").alias("title_text"), F.lower("text").alias("body_text"), (F.col("turn") + 1).cast("int").alias("page_num"))
-    pairs = concepts.candidate_pairs(t, concept_table(spark, d))
-    return concepts.scored(pairs).select("segment_id.conv_id", "segment_id.turn", "concept_id", F.round("score", 6).alias("score"), "method").where("score > 0")
-
-
 @query
 def link_dedupe_keep_max(spark, d):
     o = table(spark, d, "orders").select(F.col("o_custkey").alias("segment_id"), F.col("o_orderpriority").alias("concept_id"), F.col("o_totalprice").alias("confidence"), F.col("o_orderkey").alias("place"))
@@ -281,29 +233,6 @@ def unanswered(spark, d):
     return q.join(a, ["conv_id", "turn"], "left_anti").select("conv_id", "turn")
 
 
-@query
-def ref_keys(spark, d):
-    rows = [(0, "9.2", "Q12(a)", "problem_set", "Solution to Question 5: x"), (1, "9", "9.5", "concept_check", "answer to 12 (b)"), (2, "Unknown", "a)", "cfa", "solution to 5 is x")]
-    t = spark.createDataFrame(rows, "i int, chapter string, number string, set_type string, text string")
-    c = F.col
-    return t.select("i", linking.normal_number(c("number")).alias("normal"), linking.question_key(c("chapter"), c("number"), c("set_type")).alias("question_key"), linking.solution_key(c("chapter"), c("text"), F.lit(False)).alias("solution_key"), linking.cued_number(c("text")).alias("cued"))
-
-
-@query
-def eq_reference_join(spark, d):
-    rows = [("f1", "formula", "(9.1)", "y = x (9.1)", 0), ("f2", "formula", "(9.2)", "z = x (9.2)", 1), ("f3", "formula", "(9.1)", "y = 2x (9.1)", 2), ("q1", "question", "1", "use Eq. 9.1 and (9.2)", 3), ("q2", "question", "2", "nothing", 4)]
-    t = spark.createDataFrame(rows, "segment_id string, segment_type string, number string, text string, order_key long").select("*", F.lit("b").alias("book_id"), F.lit("").alias("context_before"), F.lit("").alias("context_after"))
-    return linking.by_equation(t).select("source_id", "target_id", "seq")
-
-
-@query
-def variable_overlap_top3(spark, d):
-    """Nations stand for formulas with a symbol and a meaning each, customers for segments."""
-    p = table(spark, d, "nation").select(F.lit("all").alias("book_id"), F.col("n_nationkey").cast("string").alias("segment_id"), F.array(F.struct(F.concat(F.lit("#"), F.col("n_nationkey").cast("string")).alias("symbol"), F.concat(F.lit("00"), F.col("n_nationkey").cast("string")).alias("meaning"))).alias("variables"))
-    s = table(spark, d, "customer").select(F.lit("all").alias("book_id"), F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("segment_id"), F.concat(F.lit("#"), F.col("c_nationkey").cast("string"), F.lit(" "), F.col("c_name")).alias("text"), F.lit("").alias("context_before"), F.lit("").alias("context_after"))
-    return linking.by_variables(s, p).select("source_id", "target_id", "overlap", "seq")
-
-
 @query
 def backlinks(spark, d):
     l = table(spark, d, "lineitem").select(F.col("l_suppkey").cast("string").alias("target_id"), F.col("l_partkey").cast("string").alias("source_id")).distinct()
@@ -312,15 +241,6 @@ def backlinks(spark, d):
     return b.select("formula_id", F.size("example_ids").alias("n"), F.array_join(F.slice("example_ids", 1, 3), ",").alias("first_ids"))
 
 
-@query
-def typed_edges(spark, d):
-    """Both directions of adjacency and duplicates, one edge of each triple."""
-    t = text_blocks(spark, d).withColumn("segment_id", F.concat_ws("|", "book_id", F.col("block_idx").cast("string")))
-    n = context.neighbours(t, [F.col("block_idx")])
-    near = n.select("book_id", F.col("prev_segment_id").alias("s"), F.col("segment_id").alias("t")).unionByName(n.select("book_id", F.col("segment_id").alias("s"), F.col("next_segment_id").alias("t"))).where("s is not null and t is not null")
-    return near.withColumn("edge_type", F.lit("NEAR")).distinct().groupBy("book_id", "edge_type").agg(F.count("*").alias("n_edges"))
-
-
 @query
 def chapter_gap_fill(spark, d):
     p = table(spark, d, "pages").select(F.lit("site").alias("book_id"), F.concat_ws(".", (F.col("page_id") % 7 + 1).cast("string"), (F.col("page_id") % 13 + 1).cast("string")).alias("number")).distinct().where("number not like '%.1' and number not like '%.3'")
@@ -376,12 +296,6 @@ def cache_misses(spark, d):
     return hits.select("doc_id", "value").unionByName(misses.select("doc_id", F.lit(None).cast("string").alias("value")))
 
 
-@query
-def json_props(spark, d):
-    e = table(spark, d, "events")
-    return e.select("event_id", F.from_json("props", "k long")["k"].alias("k"))
-
-
 @query
 def review_flags(spark, d):
     l = table(spark, d, "labels")
@@ -389,43 +303,292 @@ def review_flags(spark, d):
     return docs.join(l, "doc_id").groupBy("lang", "source").agg(F.bool_or((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("needs_review"), F.count("*").alias("n"))
 
 
+@query
+def document_segments(spark, d):
+    """Typed segments in context of every document."""
+    from pagewright.plans.engine import EngineConfig, contextual_segments
+
+    s = contextual_segments(blocks(spark, d), EngineConfig(types=None))
+    return s.select("book_id", "segment_id", "segment_type", "chapter_number", "heading_path", "order_key", "prev_segment_id", "next_segment_id")
+
+
+def phrased(spark, d) -> DataFrame:
+    """Texts of eight shapes made of parts: equations with and without numbers, labels, names."""
+    p, c = table(spark, d, "part"), F.col
+    n = F.concat_ws(".", c("p_size").cast("string"), (c("p_partkey") % 10).cast("string"))
+    shapes = [F.concat("p_name", F.lit(" = r ("), n, F.lit(")")), F.concat(F.lit("Eq. "), n), F.concat(F.lit("Eq. ("), n, F.lit(")")), F.concat(F.lit("Equation "), n, F.lit(" holds")), c("p_name"), F.concat(F.lit("("), n, F.lit(")")), F.concat(F.lit("y_"), (c("p_partkey") % 10).cast("string"), F.lit(" = a + b - c")), F.lit("r_f / x")]
+    return p.select("p_partkey", F.element_at(F.array(*shapes), (c("p_size") % 8 + 1).cast("int")).alias("text"))
+
+
+@query
+def equation_labels(spark, d):
+    t = phrased(spark, d)
+    return t.select("p_partkey", fx.equation_number(F.col("text"), F.lit(None).cast("string")).alias("number"), fx.is_equation_label(F.col("text")).alias("is_label"), fx.is_simple(F.col("text")).alias("is_simple"))
+
+
+@query
+def reference_markers(spark, d):
+    """Turns with references put behind them."""
+    marks = F.concat(F.coalesce("text", F.lit("")), F.lit(" See Table "), (F.col("turn") + 1).cast("string"), F.lit("."), (F.col("conv_id") % 10).cast("string"), F.lit(" and Appendix B; section 4."), F.col("turn").cast("string"), F.lit("b"))
+    t = table(spark, d, "conversations").select("conv_id", "turn", marks.alias("text"))
+    return t.select("conv_id", "turn", F.posexplode(bt.reference_markers(F.col("text"))).alias("nth", "m")).select("conv_id", "turn", "nth", "m.ref_type", "m.ref_id")
+
+
+def transcripts(spark, d) -> DataFrame:
+    """Each conversation as one text: an opening line, then its turns, numbered."""
+    c = table(spark, d, "conversations")
+    line = F.concat((F.col("turn") + 1).cast("string"), F.lit(". "), F.coalesce("text", F.lit("")))
+    turns_in_order = F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("line")))), lambda x: x["line"])
+    return c.groupBy("conv_id").agg(F.concat(F.lit("intro\n"), F.array_join(turns_in_order, "\n")).alias("text"))
+
+
+@query
+def split_numbered(spark, d):
+    return transcripts(spark, d).select("conv_id", F.posexplode(bt.numbered_chunks(F.col("text"))).alias("nth", "chunk"))
+
+
+@query
+def question_parts(spark, d):
+    """Choices and subparts of lines made of the first four words of a turn."""
+    w = F.transform(F.slice(words(F.lower(F.coalesce("text", F.lit("")))), 1, 4), lambda x: F.regexp_replace(x, "[^a-z]", ""))
+    at = lambda k: F.coalesce(F.try_element_at("w", F.lit(k)), F.lit(""))
+    t = table(spark, d, "conversations").select("conv_id", "turn", w.alias("w")).select("conv_id", "turn", F.concat(F.lit("A. "), at(1), F.lit(" B. "), at(2), F.lit(" (a) "), at(3), F.lit(" (b) "), at(4)).alias("text"))
+    return t.select("conv_id", "turn", F.array_join(bt.choices(F.col("text")), "|").alias("choices"), F.array_join(F.transform(bt.subparts(F.col("text")), lambda p: F.concat(p["label"], F.lit("="), p["text"])), "|").alias("subparts"))
+
+
+@query
+def parse_pages(spark, d):
+    """Lists of pages made of order lines: a range, which may run backwards, a number, a number in words."""
+    l, c = table(spark, d, "lineitem"), lambda x: F.col(x).cast("string")
+    pages = F.concat(c("l_linenumber"), F.lit("-"), (F.col("l_linenumber") + F.col("l_partkey") % 4 - 1).cast("string"), F.lit(", "), (F.col("l_suppkey") % 7).cast("string"), F.lit("; p. "), c("l_linenumber"))
+    return l.select("l_orderkey", "l_linenumber", F.array_join(catalog.parsed_pages(pages).cast("array<string>"), ",").alias("pages"))
+
+
+def numbered_turns(spark, d) -> DataFrame:
+    """Turns with made chapters, numbers and kinds of set; texts that name a number in three ways."""
+    c, n = F.col, (F.col("conv_id") % 30).cast("string")
+    t = table(spark, d, "conversations").withColumn("text", F.coalesce("text", F.lit("")))
+    chapter = F.when(c("conv_id") % 4 == 0, F.concat_ws(".", (c("conv_id") % 9 + 1).cast("string"), (c("turn") + 1).cast("string"))).when(c("conv_id") % 4 == 1, (c("conv_id") % 9 + 1).cast("string")).when(c("conv_id") % 4 == 2, "Unknown")
+    number = F.when(c("turn") % 4 == 0, F.concat(F.lit("Q"), n, F.lit("(a)"))).when(c("turn") % 4 == 1, F.concat_ws(".", n, c("turn").cast("string"))).when(c("turn") % 4 == 2, "a)").otherwise(F.concat(n, F.lit(" b")))
+    sets = F.element_at(F.array(F.lit("problem_set"), F.lit("cfa"), F.lit("concept_check"), F.lit("other"), F.lit(None).cast("string")), (c("turn") % 5 + 1).cast("int"))
+    said = F.when(c("turn") % 3 == 0, F.concat(F.lit("Solution to Question "), n, F.lit(": "), "text")).when(c("turn") % 3 == 1, F.concat(F.lit("answer to "), n, F.lit(" (b) "), "text")).otherwise(F.concat(n, F.lit(") "), "text"))
+    return t.select("conv_id", "turn", chapter.alias("chapter"), number.alias("number"), sets.alias("set_type"), said.alias("text"))
+
+
+@query
+def ref_keys(spark, d):
+    t, c = numbered_turns(spark, d), F.col
+    check = c("turn") % 2 == 0
+    return t.select("conv_id", "turn", linking.normal_number(c("number")).alias("normal"), linking.question_key(c("chapter"), c("number"), c("set_type")).alias("question_key"), linking.solution_key(c("chapter"), c("text"), check).alias("solution_key"), linking.cued_number(c("text")).alias("cued"), linking.leading_number(c("text")).alias("leading"), linking.without_suffix(linking.question_key(c("chapter"), c("number"), c("set_type"))).alias("bare_key"), linking.short_snippet(c("text")).alias("snippet"))
+
+
+@query
+def eq_reference_join(spark, d):
+    """Parts stand for numbered formulas, customers for texts that refer to numbers; brands for books."""
+    c = F.col
+    dotted = lambda a, b: F.concat_ws(".", a.cast("string"), b.cast("string"))
+    f = table(spark, d, "part").select(F.concat(F.lit("f"), c("p_partkey").cast("string")).alias("segment_id"), F.lit("formula").alias("segment_type"), c("p_brand").alias("book_id"), F.concat(F.lit("("), dotted(c("p_size"), c("p_partkey") % 5), F.lit(")")).alias("number"), F.concat("p_name", F.lit(" = r")).alias("text"), c("p_partkey").alias("order_key"))
+    said = F.concat(F.lit("use Eq. "), dotted(c("c_custkey") % 50, c("c_custkey") % 5), F.lit(" and ("), dotted(c("c_custkey") % 31, c("c_custkey") % 4), F.lit(")"))
+    q = table(spark, d, "customer").select(F.concat(F.lit("c"), c("c_custkey").cast("string")).alias("segment_id"), F.lit("question").alias("segment_type"), F.concat(F.lit("Brand#"), (c("c_custkey") % 25 + 1).cast("string")).alias("book_id"), F.lit(None).cast("string").alias("number"), said.alias("text"), c("c_custkey").alias("order_key"))
+    t = f.unionByName(q).select("*", F.lit("").alias("context_before"), F.lit("").alias("context_after"))
+    return linking.by_equation(t).select("source_id", "target_id", "seq")
+
+
+@query
+def variable_overlap_top3(spark, d):
+    """Nations stand for formulas with a symbol and a meaning each, customers for segments, fifths of the nations for books."""
+    book = lambda c: (F.col(c) % 5).cast("string").alias("book_id")
+    p = table(spark, d, "nation").select(book("n_nationkey"), F.col("n_nationkey").cast("string").alias("segment_id"), F.array(F.struct(F.concat(F.lit("#"), F.col("n_nationkey").cast("string")).alias("symbol"), F.concat(F.lit("00"), F.col("n_nationkey").cast("string")).alias("meaning"))).alias("variables"))
+    s = table(spark, d, "customer").select(book("c_nationkey"), F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("segment_id"), F.concat(F.lit("#"), F.col("c_nationkey").cast("string"), F.lit(" "), F.col("c_name")).alias("text"), F.lit("").alias("context_before"), F.lit("").alias("context_after"))
+    return linking.by_variables(s, p).select("source_id", "target_id", "overlap", "seq")
+
+
+@query
+def phrase_match(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return concepts.phrase_hits(docs, concept_table(spark, d).select("concept_id", "name"), "doc_id", "text", "name").select("doc_id", "concept_id").distinct()
+
+
+def rich_concepts(spark, d) -> DataFrame:
+    """Items as concepts with an alias of two words and a tag."""
+    w = words(concepts.normalized(F.col("description")))
+    at = lambda *k: F.filter(F.array(F.array_join(F.slice(w, *k), " ")), lambda x: x != "")
+    return concept_table(spark, d).withColumns({"aliases": at(4, 2), "tags": at(6, 1)})
+
+
+def turn_segments(spark, d) -> DataFrame:
+    """Turns as segments: their first five words are the title."""
+    t = F.lower(F.coalesce("text", F.lit("")))
+    return table(spark, d, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("segment_id"), "conv_id", "turn", F.array_join(F.slice(words(t), 1, 5), " ").alias("title_text"), t.alias("body_text"), (F.col("turn") + 1).cast("int").alias("page_num"))
+
+
+@query
+def concept_score(spark, d):
+    """Turns against all concepts: every pair that scores."""
+    s = turn_segments(spark, d)
+    scored = concepts.scored(concepts.candidate_pairs(s.drop("conv_id", "turn"), rich_concepts(spark, d)))
+    return scored.where("score > 0").select("segment_id", "concept_id", F.round("score", 6).alias("score"), "method")
+
+
+@query
+def concept_links(spark, d):
+    """At most five links of every turn: lexical, semantic, by overlap or by fallback."""
+    links, _ = concepts.linked(turn_segments(spark, d).drop("conv_id", "turn"), rich_concepts(spark, d))
+    return links.select("segment_id", "concept_id", "link_method", F.round("confidence", 6).alias("confidence"))
+
+
+@query
+def json_props(spark, d):
+    """Replies made of events' properties, bare, in a fence, in prose and cut off: what JSON they hold."""
+    p = F.col("props")
+    shapes = F.array(p, F.concat(F.lit("```json\n"), p, F.lit("\n```")), F.concat(F.lit("It is "), p, F.lit(", I think {so}.")), F.concat(F.lit("["), p, F.lit("]")), F.substring(p, 1, 4))
+    e = table(spark, d, "events").select("event_id", F.element_at(shapes, (F.col("event_id") % 5 + 1).cast("int")).alias("reply"))
+    return e.select("event_id", providers.repaired_json("reply").alias("json"))
+
+
 @query
 def type_allowlist(spark, d):
     e = table(spark, d, "events").withColumn("segment_type", F.upper("event_type"))
-    kept = ("click", "view", "purchase")
-    return e.where(F.lower("segment_type").isin(*kept)).groupBy("segment_type").agg(F.count("*").alias("n"))
+    return context.of_types(e, ("Click", "view", "purchase")).groupBy("segment_type").agg(F.count("*").alias("n"))
 
 
 @query
 def text_similarity(spark, d):
-    """Benchmark items against themselves in reverse: word Jaccard."""
+    """Benchmark items against the one of the next id: word Jaccard."""
     b = table(spark, d, "benchmark").select("item_id", words(F.lower("text")).alias("w"))
     n = b.select((F.col("item_id") + 1).alias("item_id"), F.col("w").alias("w2"))
     return b.join(n, "item_id").select("item_id", F.round(jaccard(F.array_distinct("w"), F.array_distinct("w2")), 6).alias("alike"))
 
 
-def _literal_blocks(spark: SparkSession) -> DataFrame:
-    lines = [
-        (1, "CHAPTER 9 Risk"), (1, "9.1 Market Model"), (1, "E(r) = r_f + 5 (9.1)"), (1, "where r_f is the risk-free rate"), (2, "Example 9.1 Given: r = 0.05, T = 10 find PV"),
-        (2, "r_f = 2 using Eq. 9.1"), (2, "Problem Sets"), (2, "intro\n1. Find x using (9.1)\n2. Calculate y?"), (3, "5. What is beta?"), (3, "Solution to Question 5: beta is one"), (4, "E(r)=r_f+5"),
+def graph_parts(spark, d) -> DataFrame:
+    """Parts as segments of six types, brands as books."""
+    kinds = F.array(*[F.lit(k) for k in ("formula", "worked_example", "question", "solution", "derivation", "calculation")])
+    p = table(spark, d, "part")
+    w = Window.partitionBy("p_brand").orderBy("p_partkey")
+    own = F.concat(F.lit("s"), F.col("p_partkey").cast("string"))
+    return p.select(F.col("p_brand").alias("book_id"), own.alias("segment_id"), F.element_at(kinds, (F.col("p_size") % 6 + 1).cast("int")).alias("segment_type"), F.col("p_partkey").alias("order_key"), F.col("p_size").alias("page_num"), F.col("p_type").alias("heading_path"), F.when(F.col("p_partkey") % 2 == 0, "definition").otherwise("application").alias("usage_type"), F.lag(own).over(w).alias("prev_segment_id"), F.lead(own).over(w).alias("next_segment_id"), F.col("p_name").alias("text"))
+
+
+@query
+def typed_edges(spark, d):
+    """Edges of all eight types over parts; each part refers to, answers, teaches or repeats one at a set distance."""
+    s = graph_parts(spark, d)
+    to = lambda k: F.concat(F.lit("s"), (F.col("order_key") + k).cast("string"))
+    how = F.when(F.col("order_key") % 3 == 0, "equation_number").otherwise("variable_overlap")
+    refs = s.select("book_id", F.col("segment_id").alias("source_id"), to(7).alias("target_id"), how.alias("method"), F.col("text").alias("snippet"), F.lit(1).alias("seq"))
+    derived = s.where("segment_type = 'derivation'").select("segment_id", to(5).alias("to_id"))
+    answered = s.where("segment_type = 'solution'").select(F.col("segment_id").alias("solution_id"), to(-3).alias("question_id"))
+    methods = F.array(*[F.lit(m) for m in ("exact_match", "alias", "semantic", "heuristic", "fallback")])
+    links = s.select("segment_id", F.concat(F.lit("k"), (F.col("order_key") % 11).cast("string")).alias("concept_id"), F.element_at(methods, (F.col("order_key") % 5 + 1).cast("int")).alias("link_method"), ((F.col("order_key") % 10) / 10).alias("confidence"))
+    same = s.where("segment_type = 'formula' and order_key % 4 = 0").select("segment_id", to(-1).alias("canonical_id"), F.md5(F.col("text").cast("binary")).alias("canonical_key"))
+    e = linking.edges(s, refs, derived, answered, links, same)
+    return e.select("book_id", "source_id", "target_id", "edge_type", F.round("strength", 6).alias("strength"), "link_method", F.col("anchor.page").alias("page"), F.col("anchor.method").alias("how"), F.col("anchor.snippet").alias("snippet"))
+
+
+def asked_and_solved(spark, d) -> tuple[DataFrame, DataFrame]:
+    """User turns as questions, assistant turns as solutions that name or lead with a number; twenty books."""
+    c, t = F.col, table(spark, d, "conversations").withColumn("text", F.coalesce("text", F.lit("")))
+    id_of = lambda x: F.concat(F.lit(x), F.concat_ws("-", "conv_id", "turn"))
+    formula = lambda k, m: F.concat(F.lit("f"), (c(k) % m).cast("string"))
+    sets = F.element_at(F.array(F.lit("problem_set"), F.lit("cfa"), F.lit("concept_check")), (c("conv_id") % 3 + 1).cast("int"))
+    chapter = lambda k: F.concat_ws(".", (c("conv_id") % 3 + 1).cast("string"), (c("turn") % k + 1).cast("string"))
+    book = (c("conv_id") % 20).cast("string").alias("book_id")
+    q = t.where("role = 'user'").select(book, id_of("q").alias("segment_id"), chapter(3).alias("chapter_number"), "text", c("turn").cast("string").alias("number"), sets.alias("set_type"), F.array(formula("turn", 3), formula("conv_id", 4)).alias("formula_ids"), (c("conv_id") * 100 + c("turn")).alias("order_key"))
+    n = (c("turn") - 1).cast("string")
+    said = F.when(c("conv_id") % 2 == 0, F.concat(F.lit("Solution to Question "), n, F.lit(": "), "text")).otherwise(F.concat(n, F.lit(". "), "text"))
+    a = t.where("role = 'assistant'").select(book, id_of("a").alias("segment_id"), chapter(2).alias("chapter_number"), said.alias("text"), (c("conv_id") % 3 == 2).alias("is_concept_check"), F.array(formula("turn", 3)).alias("formula_ids"))
+    return q, a
+
+
+@query
+def answers(spark, d):
+    q, a = asked_and_solved(spark, d)
+    return linking.answers(q, a).select("solution_id", "question_id", F.round("score", 6).alias("score"), "method")
+
+
+@query
+def answer_statuses(spark, d):
+    q, a = asked_and_solved(spark, d)
+    return linking.statuses(q, a, linking.answers(q, a)).select("segment_id", "status")
+
+
+def shaped_parts(spark, d) -> DataFrame:
+    """Texts of ten shapes made of parts, in three kinds of section."""
+    c = F.col
+    n = c("p_size").cast("string")
+    shapes = [
+        F.concat(F.lit("Solution to 5: "), "p_name"), F.concat(F.lit("Answer: "), "p_name"), F.concat(n, F.lit(". thus x = "), n), F.concat(F.lit("Given r = "), n, F.lit(" find the result")), F.concat(F.lit("x = "), n, F.lit("\ny = 2 + 3")),
+        F.concat(F.lit("Concept Check 9."), n, F.lit(" what?")), F.concat(F.lit("Example 2: Given: r = 0.05, T_"), n, F.lit(" = 10 find PV and compute NPV")), F.concat(F.lit("Proof: "), "p_name"), F.concat(F.lit("Step 1: "), "p_name", F.lit("\nstep 2. add "), n, F.lit("\n3) end")), F.concat(F.lit("5 solution "), "p_name", F.lit(" = 1")),
     ]
-    rows = [("b", "u", p, 600.0, 800.0, i, 72.0, 100.0 + 30 * i, 500.0, 112.0 + 30 * i, t, 0) for i, (p, t) in enumerate(lines)]
-    return spark.createDataFrame(rows, blocks_source.BLOCKS)
+    sections = F.array(F.lit("concept_check_solutions"), F.lit("concept_check"), F.lit(None).cast("string"))
+    return table(spark, d, "part").select("p_partkey", F.element_at(F.array(*shapes), (c("p_size") % 10 + 1).cast("int")).alias("text"), F.element_at(sections, (c("p_partkey") % 3 + 1).cast("int")).alias("section"))
 
 
 @query
-def segment_graph(spark, d):
-    """The whole plan over a small literal book: its edges."""
-    from pagewright.plans.engine import EngineConfig, segmented
+def block_tests(spark, d):
+    t, x, section = shaped_parts(spark, d), F.col("text"), F.col("section")
+    return t.select("p_partkey", bt.is_worked_example(x).alias("example"), bt.is_derivation(x).alias("derivation"), bt.is_solution(x, section).alias("solution"), bt.is_calculation(x, section).alias("calculation"), bt.is_concept_check(x).alias("concept_check"), bt.is_likely_problem(x).alias("problem"))
 
-    return segmented(_literal_blocks(spark), None, EngineConfig(types=None)).edges.select("edge_type", "source_id", "target_id", "strength")
+
+@query
+def extractions(spark, d):
+    """What examples give and ask for, and numbered steps."""
+    t, x = shaped_parts(spark, d), F.col("text")
+    pairs = F.array_sort(F.transform(F.map_entries(bt.given_data(x)), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    steps = F.when(x.rlike(r"(?im)step\s+\d|^\d+[.)]"), F.array_join(bt.solution_steps(x), "|"))
+    return t.select("p_partkey", F.array_join(pairs, "|").alias("given"), F.array_join(bt.output_variables(x), "|").alias("outputs"), steps.alias("steps"), F.array_join(bt.example_steps(x), "|").alias("lines"))
 
 
 @query
-def document_segments(spark, d):
-    """Typed segments in context of every document."""
-    from pagewright.plans.engine import EngineConfig, contextual_segments
+def symbol_tests(spark, d):
+    """Symbols of eight shapes made of parts: cleaned, judged, compared with a Greek letter."""
+    c, n = F.col, (F.col("p_size") % 7).cast("string")
+    shapes = [F.concat(F.lit("r_"), n), F.concat(F.lit("("), F.left("p_name", F.lit(3)), F.lit("),")), F.lit("alpha"), F.lit("years"), F.lit("σ"), c("p_brand"), F.concat(F.lit(" ab"), n, F.lit(": ")), F.lit("Sigma")]
+    t = table(spark, d, "part").select("p_partkey", F.element_at(F.array(*shapes), (c("p_size") % 8 + 1).cast("int")).alias("raw"))
+    clean = fx.clean_symbol(c("raw"))
+    return t.select("p_partkey", clean.alias("symbol"), fx.valid_symbol(clean).alias("valid"), fx.greek_match(clean, F.lit("σ")).alias("is_sigma"))
 
-    s = contextual_segments(blocks(spark, d), EngineConfig(types=None))
-    return s.select("book_id", "segment_id", "segment_type", "chapter_number", "heading_path", "order_key", "prev_segment_id", "next_segment_id")
 
+@query
+def chapter_titles(spark, d):
+    """Entries of a table of contents made of pages' titles."""
+    c, title = F.col, F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    n, m = (c("page_id") % 12 + 1).cast("string"), (c("page_id") % 5 + 1).cast("string")
+    entry = F.when(c("page_id") % 4 == 0, F.concat(F.lit("Chapter "), n, F.lit(": "), title)).when(c("page_id") % 4 == 1, F.concat(n, F.lit("."), m, F.lit(" "), title)).when(c("page_id") % 4 == 2, F.concat(n, F.lit(" - "), title)).otherwise(title)
+    toc = table(spark, d, "pages").select((c("page_id") % 10).cast("string").alias("book_id"), c("page_id").alias("entry_idx"), (c("page_id") % 3 + 1).cast("int").alias("level"), entry.alias("title"), c("page_id").cast("int").alias("page"))
+    return catalog.chapter_titles(toc).select("book_id", "number", "title")
+
+
+@query
+def page_titles(spark, d):
+    """The largest line of each page, the topmost of equals; a line's size is made of its length."""
+    spans = blocks(spark, d).select("book_id", "page_num", "text", (F.length("text") % 7).cast("double").alias("size"), "y0")
+    return catalog.page_titles(spans).select("book_id", "page_num", "title")
+
+
+@query
+def solution_locations(spark, d):
+    """Where solutions stand by the headings of a brand's parts, in order."""
+    cues = F.array(*[F.lit(x) for x in ("Risk", "Selected Answers", "Appendix A", "Chapter Review", "Concept Checks", "Returns", "The End")])
+    p = table(spark, d, "part").where("p_size % 5 = 0").select(F.concat_ws("-", "p_brand", (F.col("p_partkey") % 20).cast("string")).alias("chapter"), "p_partkey", F.element_at(cues, (F.col("p_partkey") % 7 + 1).cast("int")).alias("heading"))
+    by_chapter = p.groupBy("chapter").agg(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "heading"))), lambda x: x["heading"]).alias("headings"))
+    return by_chapter.select("chapter", chapters.solution_location(F.col("headings")).alias("location"))
+
+
+@query
+def catalog_rows(spark, d):
+    """A catalog read from rows with the usual names."""
+    b, c = table(spark, d, "benchmark"), F.col
+    w = words(concepts.normalized(c("text")))
+    rows = b.select(c("item_id").cast("string").alias("Id"), F.array_join(F.slice(w, 1, 2), " ").alias("Concept_Name"), F.array_join(F.slice(w, 3, 3), " , ").alias("alias"), F.array_join(F.slice(w, 6, 3), "; ").alias("Tag(s)"), (c("item_id") % 4).cast("string").alias("level"), F.concat((c("item_id") % 5).cast("string"), F.lit("-"), (c("item_id") % 8).cast("string")).alias("Page(s)"))
+    got = catalog.concepts_from(rows, F.monotonically_increasing_id())
+    flat = lambda x: F.array_join(F.col(x).cast("array<string>"), "|")
+    return got.select("concept_id", "name", flat("aliases").alias("aliases"), flat("tags").alias("tags"), "level", flat("pages").alias("pages"))
+
+
+@query
+def segment_graph(spark, d):
+    """The whole plan over every document: its edges."""
+    from pagewright.plans.engine import EngineConfig, segmented
+
+    return segmented(blocks(spark, d), None, EngineConfig(types=None)).edges.select("book_id", "edge_type", "source_id", "target_id", "strength")

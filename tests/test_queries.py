@@ -3,6 +3,7 @@
 import glob
 import math
 import os
+from collections import Counter
 
 import duckdb
 import pytest
@@ -41,9 +42,22 @@ def test_same_rows(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(QUERIES.keys() - ORACLES.keys()))
 def test_rows_without_sql(spark, name):
     df = QUERIES[name](spark, SF)
-    assert df.columns and df.count() >= 0
+    rows = df.collect()
+    assert df.columns and rows
+    if name == "segment_graph":
+        ids = {r.segment_id: r.book_id for r in QUERIES["document_segments"](spark, SF).collect()}
+        edges = [(r.source_id, r.target_id, r.edge_type) for r in rows]
+        assert len(edges) == len(set(edges)) and all(ids[a] == ids[b] for a, b, _ in edges)
+        per_book = Counter(ids.values())
+        assert Counter(r.book_id for r in rows if r.edge_type == "NEAR") == {b: n - 1 for b, n in per_book.items() if n > 1}
+    if name == "concept_links":
+        scores = {(r.segment_id, r.concept_id): r.score for r in QUERIES["concept_score"](spark, SF).collect()}
+        per = Counter(r.segment_id for r in rows)
+        turns = spark.read.parquet(f"{SF}/conversations.parquet").count()
+        assert len(per) == turns and max(per.values()) <= 5 and len({(r.segment_id, r.concept_id) for r in rows}) == len(rows)
+        lexical = [r for r in rows if r.link_method in ("exact_match", "alias")]
+        assert lexical and all(r.confidence == min(1.0, scores[r.segment_id, r.concept_id]) for r in lexical)
     if name == "document_segments":
-        rows = df.collect()
         ids = [r.segment_id for r in rows]
         assert len(ids) == len(set(ids)) and rows
         per = {}
