@@ -6,10 +6,13 @@ that both occurrences have in the sample (about one place in 35).
 
 1. Each block of documents sends the hashes at its places; those found once in the corpus are settled.
 2. The other suffixes of a block, with the bytes around the place that the strings it stands for cover, become a
-   sorted, front-coded run for each bucket of hashes; of equal ones in a block only the first goes on.
-3. A bucket's runs are merged by a loser tree that keeps the length of the prefix each run's head shares with the
-   last suffix put out, and never compares those bytes again.  The merged prefix lengths show the groups of
-   suffixes with equal first K bytes.  In each, strings with an earlier occurrence are marked.
+   sorted, front-coded run for each range of first K bytes; of equal ones in a block only the first goes on.  Ranges
+   are cut by splitters from a bounded sample, which decides on balance, never on results.
+3. A range's runs are merged by a loser tree that keeps the length of the prefix each run's head shares with the
+   last suffix put out, and never compares those bytes again.  The merged prefix lengths decide repeats: two suffixes
+   share as many bytes as the least length between them.  A string that begins o bytes before its place has an earlier
+   equal if they share LENGTH - o bytes, which these lengths say, and the o bytes before their places are equal, which
+   is the only comparison left.
 4. Marks go back to their blocks, which drop the bytes covered.
 
 Results are exact: hashes only choose places and candidates, equality is decided on bytes.
@@ -34,6 +37,8 @@ LENGTH, K = 100, 32
 LEFT = LENGTH - K
 WINDOW = LENGTH - K + 1
 CHUNK = 1 << 19
+#: Blocks and prefixes in each that splitters are chosen from, and the most ranges; beyond, ranges are dealt on by hash.
+SAMPLED_BLOCKS, SAMPLED_PREFIXES, MOST_RANGES = 16, 1024, 4096
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BACK = np.uint64(pow(int(BASE), -1, 1 << 64))
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -156,7 +161,34 @@ def common(a: bytes, b: bytes, known: int) -> int:
     return n if not x else n - (x.bit_length() + 7) // 8
 
 
-def runs(buckets: int):
+def splitters(source: DataFrame, buckets: int) -> list[bytes]:
+    """First K bytes that cut the order of suffixes into min(buckets, MOST_RANGES) ranges of about equal size."""
+
+    def prefixes(batches):
+        for batch in batches:
+            for blob in batch.column("blob").to_pylist():
+                block = Block.of(blob)
+                at = places(block)[0]
+                at = at[:: max(1, -(-len(at) // SAMPLED_PREFIXES))]
+                yield pa.RecordBatch.from_arrays([pa.array([block.data[a : a + K] for a in at.tolist()], pa.binary())], ["prefix"])
+
+    chosen = [r.block for r in source.select("block").orderBy(F.xxhash64("block"), "block").limit(SAMPLED_BLOCKS).collect()]
+    got = sorted(bytes(r.prefix) for r in source.where(F.col("block").isin(chosen)).select("blob").mapInArrow(prefixes, "prefix binary").collect())
+    ranges = min(buckets, MOST_RANGES)
+    return sorted({got[len(got) * k // ranges] for k in range(1, ranges)} if got else set())
+
+
+def ranged(data: np.ndarray, at: np.ndarray, h: np.ndarray, cuts: list[bytes], buckets: int) -> np.ndarray:
+    """The bucket of each suffix: the range of its first K bytes, and a hash of these where there are more buckets than ranges."""
+    if not len(at):
+        return at
+    first = np.ascontiguousarray(data[at[:, None] + np.arange(K)]).view(f"S{K}").ravel()
+    place = np.searchsorted(np.array(cuts, f"S{K}"), first, "right") if cuts else np.zeros(len(at), np.int64)
+    each = max(1, buckets // (len(cuts) + 1))
+    return place * each + ((h ^ (h >> np.uint64(32))) % np.uint64(each)).astype(np.int64)
+
+
+def runs(buckets: int, splits: list[bytes]):
     """Per block, sorted front-coded runs of the suffixes that may repeat (kind 0), and what is settled at once (kind 1)."""
 
     def run(key, own: pa.Table, answers: pa.Table) -> pa.Table:
@@ -188,11 +220,12 @@ def runs(buckets: int):
             blobs.append(packed(np.concatenate(a), np.concatenate(b)))
             first = np.concatenate(firsts) if firsts else np.zeros(0, np.int64)
             members = list(seen)  # in the order of `first`
-            deal, cuts = dealt(h[first], buckets)
-            for bucket in range(buckets):
-                own_rows = deal[cuts[bucket] : cuts[bucket + 1]]
-                if not len(own_rows):
-                    continue
+            bucket_of = ranged(data, at[first], h[first], splits, buckets)
+            deal = np.argsort(bucket_of, kind="stable")
+            ends_of = np.flatnonzero(np.diff(bucket_of[deal], append=-1))
+            for start, end in zip([0, *(ends_of[:-1] + 1)], ends_of + 1):
+                own_rows = deal[start:end]
+                bucket = int(bucket_of[own_rows[0]])
                 rows = sorted((members[j][LEFT : LEFT + members[j][-1]], int(first[j]), j) for j in own_rows.tolist())
                 shared, rest = front_coded([r[0] for r in rows])
                 where = np.array([r[1] for r in rows])
@@ -280,52 +313,58 @@ def merged(inputs: list[Run]):
             node //= 2
 
 
-def marked(group: np.ndarray, context: np.ndarray, left: np.ndarray, right: np.ndarray, rank: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def marked(group: np.ndarray, shared: np.ndarray, before: np.ndarray, left: np.ndarray, right: np.ndarray, rank: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(member, first, last): the offsets before its place at which a string of each member has an earlier equal.
 
-    Members of a group lie together.  Small groups are compared by pairs, large ones by hashes of each string,
-    whose first bearers are then compared byte by byte.
+    Members are in the merge's order, groups together; shared: the prefix length that the merge found with the member
+    before; before: the LEFT bytes before each place.  Small groups are taken by pairs, large ones offset by offset:
+    members between which no shared length is under LENGTH - o are one run, in which equal bytes before the place tell.
     """
     sizes = np.bincount(group)
     out = []
     small = sizes[group] <= 8
-    # pairs within small groups: each member with the k-th behind it
     index = np.flatnonzero(small)
+    low = shared[index]  # least shared length between each member and the k-th before it
     for k in range(1, 8):
         if len(index) <= k:
             break
         i, j = index[:-k], index[k:]
+        low = np.minimum(low[:-1], shared[index[k:]]) if k > 1 else shared[j]
         same = group[i] == group[j]
+        pairs_low = low[same]
         i, j = i[same], j[same]
         for part in range(0, len(i), 100_000):
             a, b = i[part : part + 100_000], j[part : part + 100_000]
-            differ = context[a] != context[b]
-            reach = np.where(differ[:, LEFT:].any(1), differ[:, LEFT:].argmax(1), LENGTH)
-            behind = differ[:, :LEFT][:, ::-1]
+            behind = (before[a] != before[b])[:, ::-1]
             back = np.where(behind.any(1), behind.argmax(1), LEFT)
-            reach, back = np.minimum(reach, np.minimum(right[a], right[b])), np.minimum(back, np.minimum(left[a], left[b]))
+            back, reach = np.minimum(back, np.minimum(left[a], left[b])), pairs_low[part : part + 100_000]
             hit = reach + back >= LENGTH
             later = np.where(rank[a] > rank[b], a, b)[hit]
             out.append((later, LENGTH - reach[hit], back[hit]))
     large = np.flatnonzero(~small)
-    large = large[np.argsort(rank[large], kind="stable")]
     if len(large):
-        c = context[large]
-        up, down = powers(BASE, LEFT + LENGTH), powers(BACK, LEFT + 1)
-        total = np.zeros((len(large), LEFT + LENGTH + 1), np.uint64)
-        np.cumsum((c.astype(np.uint64) + np.uint64(1)) * up, axis=1, out=total[:, 1:])
+        down = powers(BACK, LEFT + 1)
+        total = np.zeros((len(large), LEFT + 1), np.uint64)
+        np.cumsum((before[large].astype(np.uint64) + np.uint64(1)) * powers(BASE, LEFT), axis=1, out=total[:, 1:])
+        by_rank = np.argsort(rank[large], kind="stable")
+        new_group = np.append(True, group[large][1:] != group[large][:-1])
         for o in range(LEFT + 1):
-            rows = np.flatnonzero((left[large] >= o) & (right[large] >= LENGTH - o))
+            run = np.cumsum(new_group | (shared[large] < LENGTH - o))
+            rows = by_rank[((left[large] >= o) & (right[large] >= LENGTH - o))[by_rank]]
             if len(rows) < 2:
                 continue
-            key = (total[rows, LEFT - o + LENGTH] - total[rows, LEFT - o]) * down[LEFT - o]
-            key = key ^ (key >> np.uint64(33)) ^ (group[large[rows]].astype(np.uint64) * BASE)
+            key = (total[rows, LEFT] - total[rows, LEFT - o]) * down[LEFT - o]
+            key = (key ^ (key >> np.uint64(33))) * BACK ^ run[rows].astype(np.uint64) * BASE
             _, first, back = np.unique(key, return_index=True, return_inverse=True)
-            head = first[back]
-            again = np.flatnonzero(head != np.arange(len(rows)))
-            x, y = rows[again], rows[head[again]]
-            equal = (c[x, LEFT - o : LEFT - o + LENGTH] == c[y, LEFT - o : LEFT - o + LENGTH]).all(1)
-            out.append((large[x[equal]], np.full(equal.sum(), o), np.full(equal.sum(), o)))
+            head = first[back]  # the earliest of each key
+            x, y = rows, rows[head]
+            equal = (run[x] == run[y]) & (before[large[x], LEFT - o :] == before[large[y], LEFT - o :]).all(1)
+            if not equal.all():  # two strings of one key: its rows are told apart by their bytes
+                seen: dict = {}
+                for n in np.flatnonzero(np.isin(back, back[~equal])).tolist():
+                    head[n] = seen.setdefault((run[rows[n]], before[large[rows[n]], LEFT - o :].tobytes()), n)
+            again = large[rows[head != np.arange(len(rows))]]
+            out.append((again, np.full(len(again), o), np.full(len(again), o)))
     return out
 
 
@@ -335,18 +374,15 @@ def settled(table: pa.Table) -> pa.Table:
         return pa.table({"block": table.column("key"), "spans": table.column("blob")})
     inputs = [Run(k, x) for k, x in enumerate(table.column("blob").to_pylist())]
     n = sum(len(r.shared) for r in inputs)
-    source, row, group = np.empty(n, np.int32), np.empty(n, np.int32), np.empty(n, np.int64)
-    text = bytearray()
+    source, row, group, prefix = np.empty(n, np.int32), np.empty(n, np.int32), np.empty(n, np.int64), np.empty(n, np.int64)
     current = -1
     for k, (r, i, shared) in enumerate(merged(inputs)):
         if shared < K:
             current += 1
-        source[k], row[k], group[k] = r.index, i, current
-        text += r.head.ljust(LENGTH, b"\0")
+        source[k], row[k], group[k], prefix[k] = r.index, i, current, shared
     sizes = np.bincount(group, minlength=1)
     several = np.flatnonzero(sizes[group] > 1)
-    right_bytes = np.frombuffer(bytes(text), np.uint8).reshape(-1, LENGTH)[several]
-    source, row, group = source[several], row[several], np.unique(group[several], return_inverse=True)[1]
+    source, row, prefix, group = source[several], row[several], prefix[several], np.unique(group[several], return_inverse=True)[1]
 
     def gather(name, dtype, width=0):
         out = np.empty((len(source), width) if width else len(source), dtype)
@@ -363,7 +399,7 @@ def settled(table: pa.Table) -> pa.Table:
     rank[np.lexsort((at, numbers, ids))] = np.arange(len(source))
     spans: dict[int, list] = {}
     if len(source):
-        for member, first, last in marked(group, np.concatenate([left_bytes, right_bytes], 1), left, right, rank):
+        for member, first, last in marked(group, prefix, left_bytes, left, right, rank):
             # strings that begin first..last bytes before the place: from the farthest's begin to the nearest's end
             begin, end, to = at[member] - last, at[member] - first + LENGTH, numbers[member]
             for number in np.unique(to).tolist():
@@ -433,7 +469,7 @@ def _apply(docs: DataFrame, function, schema: str, block_bytes: int, bucket_byte
     total = source.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     buckets = max(8, -(-total // bucket_bytes))
     answers = source.select("block", "blob").mapInArrow(asked(buckets), "bucket long, block long, hashes binary").groupBy("bucket").applyInArrow(answered, "block long, shared binary")
-    found = source.select("block", "blob").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(runs(buckets), "kind int, key long, blob binary")
+    found = source.select("block", "blob").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(runs(buckets, splitters(source, buckets)), "kind int, key long, blob binary")
     spans = found.groupBy("kind", "key").applyInArrow(settled, "block long, spans binary")
     return source.select("block", "blob").groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(function, schema)
 
