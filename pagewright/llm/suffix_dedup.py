@@ -24,6 +24,7 @@ LENGTH bytes lose nothing; texts of any length are treated whole.  An empty tabl
 
 from __future__ import annotations
 
+from collections import Counter
 from hashlib import sha256
 
 import numpy as np
@@ -37,8 +38,9 @@ LENGTH, K = 100, 32
 LEFT = LENGTH - K
 WINDOW = LENGTH - K + 1
 CHUNK = 1 << 19
-#: Blocks and prefixes in each that splitters are chosen from, and the most ranges; beyond, ranges are dealt on by hash.
-SAMPLED_BLOCKS, SAMPLED_PREFIXES, MOST_RANGES = 16, 1024, 4096
+#: Blocks that splitters are chosen from, one in how many of their places, and the most ranges; beyond, ranges are dealt
+#: on by hash.
+SAMPLED_BLOCKS, SAMPLED_SHARE, MOST_RANGES = 16, 64, 4096
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BACK = np.uint64(pow(int(BASE), -1, 1 << 64))
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -162,20 +164,27 @@ def common(a: bytes, b: bytes, known: int) -> int:
 
 
 def splitters(source: DataFrame, buckets: int) -> list[bytes]:
-    """First K bytes that cut the order of suffixes into min(buckets, MOST_RANGES) ranges of about equal size."""
+    """First K bytes that cut the order of suffixes into min(buckets, MOST_RANGES) ranges of about equal size.
+
+    The sample takes the same suffixes of every sampled block, by hash; what several blocks have counts once for each,
+    as it is sent by each, and what only one has counts little, as it is settled before.
+    """
 
     def prefixes(batches):
         for batch in batches:
             for blob in batch.column("blob").to_pylist():
                 block = Block.of(blob)
-                at = places(block)[0]
-                at = at[:: max(1, -(-len(at) // SAMPLED_PREFIXES))]
-                yield pa.RecordBatch.from_arrays([pa.array([block.data[a : a + K] for a in at.tolist()], pa.binary())], ["prefix"])
+                at, h, _, _ = places(block)
+                at = at[h % np.uint64(SAMPLED_SHARE) == 0]
+                yield pa.RecordBatch.from_arrays([pa.array(sorted({block.data[a : a + K] for a in at.tolist()}), pa.binary())], ["prefix"])
 
     chosen = [r.block for r in source.select("block").orderBy(F.xxhash64("block"), "block").limit(SAMPLED_BLOCKS).collect()]
-    got = sorted(bytes(r.prefix) for r in source.where(F.col("block").isin(chosen)).select("blob").mapInArrow(prefixes, "prefix binary").collect())
-    ranges = min(buckets, MOST_RANGES)
-    return sorted({got[len(got) * k // ranges] for k in range(1, ranges)} if got else set())
+    got = Counter(bytes(r.prefix) for r in source.where(F.col("block").isin(chosen)).select("blob").mapInArrow(prefixes, "prefix binary").collect())
+    ranges, order = min(buckets, MOST_RANGES), sorted(got)
+    if not order:
+        return []
+    load = np.cumsum([n if n > 1 else 0.1 for n in map(got.__getitem__, order)])
+    return sorted({order[k] for k in np.searchsorted(load, load[-1] * np.arange(1, ranges) / ranges).tolist()})
 
 
 def ranged(data: np.ndarray, at: np.ndarray, h: np.ndarray, cuts: list[bytes], buckets: int) -> np.ndarray:
