@@ -476,7 +476,7 @@ def kept_texts(key, own: pa.Table, spans: pa.Table) -> pa.Table:
 def _apply(docs: DataFrame, function, schema: str, block_bytes: int, bucket_bytes: int) -> DataFrame:
     source = blocks(docs, block_bytes)
     total = source.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
-    buckets = max(8, -(-total // bucket_bytes))
+    buckets = max(64, -(-total // bucket_bytes))  # small inputs too have enough ranges for even shares
     answers = source.select("block", "blob").mapInArrow(asked(buckets), "bucket long, block long, hashes binary").groupBy("bucket").applyInArrow(answered, "block long, shared binary")
     found = source.select("block", "blob").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(runs(buckets, splitters(source, buckets)), "kind int, key long, blob binary")
     spans = found.groupBy("kind", "key").applyInArrow(settled, "block long, spans binary")
