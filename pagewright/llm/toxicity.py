@@ -102,34 +102,43 @@ def paired_terms(rows: list[np.ndarray], y: np.ndarray, screened: int, most: int
         return common
     place = np.full(BUCKETS, -1)
     place[common] = np.arange(len(common))
-    x = np.zeros((len(rows), len(common)), np.float32)
-    for k, r in enumerate(rows):
-        at = place[r]
-        x[k, at[at >= 0]] = 1
-    odds, spread = [0.0] * 4, [0.0] * 4  # of the rows with both terms, with one, with the other, with none
-    for own, sign in ((x[y], 1), (x[~y], -1)):
-        both, one = own.T @ own, own.sum(0)
-        cells = both, one[:, None] - both, one[None, :] - both, len(own) - one[:, None] - one[None, :] + both
-        for k, cell in enumerate(cells):
-            odds[k] = odds[k] + sign * np.log(cell + np.float32(0.5))
-            spread[k] = spread[k] + 1 / (cell + np.float32(0.5))
-
-    def beyond(i, j):
-        return (odds[i] - odds[j]) / np.sqrt(spread[i] + spread[j])
-
-    least = lambda *gaps: np.minimum.reduce(gaps)
-    together = least(beyond(0, 1), beyond(0, 2), beyond(0, 3))
-    alike = least(beyond(0, 1), beyond(0, 2), beyond(3, 1), beyond(3, 2))
-    apart = least(beyond(1, 0), beyond(2, 0), beyond(1, 3), beyond(2, 3))
-    z = np.triu(np.maximum.reduce([together, alike, apart]), 1)
-    a, b = np.nonzero(z >= least_z)
-    order = np.argsort(-z[a, b], kind="stable")
-    return common[list(dict.fromkeys(np.stack([a[order], b[order]], 1).ravel().tolist()))[:most]]
-
-
-def chosen_terms(rows: list[np.ndarray], y: np.ndarray, most: int, least_z: float, screened: int = 2048, least_pair_z: float = 4.0) -> dict[int, int]:
-    """At most `most` terms, of which up to a quarter are there for pairs."""
-    pairs = paired_terms(rows, y, screened, most // 4, least_pair_z)
+    sides = []  # for each label: which of its rows have which terms
+    for label in (True, False):
+        own = [place[r] for r, t in zip(rows, y) if bool(t) == label]
+        x = np.zeros((len(own), len(common)), np.float32)
+        for k, at in enumerate(own):
+            x[k, at[at >= 0]] = 1
+        sides.append((x, x.sum(0)))
+    found = []
+    for start in range(0, len(common), 128):  # in strips, so that memory holds few of the pairs
+        part = slice(start, start + 128)
+        odds, spread = [0.0] * 4, [0.0] * 4  # of the rows with both terms, with one, with the other, with none
+        for (x, one), sign in zip(sides, (1, -1)):
+            both = x[:, part].T @ x
+            cells = both, one[part, None] - both, one[None, :] - both, len(x) - one[part, None] - one[None, :] + both
+            for k, cell in enumerate(cells):
+                odds[k] = odds[k] + sign * np.log(cell + np.float32(0.5))
+                spread[k] = spread[k] + 1 / (cell + np.float32(0.5))
+
+        def beyond(i, j, odds=odds, spread=spread):
+            return (odds[i] - odds[j]) / np.sqrt(spread[i] + spread[j])
+
+        one_without, other_without = beyond(0, 1), beyond(0, 2)
+        together = np.minimum.reduce([one_without, other_without, beyond(0, 3)])
+        alike = np.minimum.reduce([one_without, other_without, beyond(3, 1), beyond(3, 2)])
+        apart = np.minimum.reduce([-one_without, -other_without, beyond(1, 3), beyond(2, 3)])
+        z = np.maximum.reduce([together, alike, apart])
+        a, b = np.nonzero(z >= least_z)
+        later = b > a + start
+        found.append(np.stack([z[a, b], a + start, b], 1)[later])
+    found = np.concatenate(found)
+    order = found[np.argsort(-found[:, 0], kind="stable"), 1:].astype(np.int64)
+    return common[list(dict.fromkeys(order.ravel().tolist()))[:most]]
+
+
+def chosen_terms(rows: list[np.ndarray], y: np.ndarray, most: int, least_z: float, screened: int = 2048, most_paired: int = 256, least_pair_z: float = 4.0) -> dict[int, int]:
+    """At most `most` terms, of which up to most_paired are there for pairs."""
+    pairs = paired_terms(rows, y, screened, min(most // 4, most_paired), least_pair_z)
     alone = telling_terms(rows, y, least_z)[0][: most - len(pairs)]
     return {t: k for k, t in enumerate(dict.fromkeys([*pairs.tolist(), *alone.tolist()]))}
 
@@ -201,14 +210,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: tuple[int, int] = (2500
         part = rows.mapInArrow(_terms_of, "doc_id long, terms array<int>, label int").orderBy(F.xxhash64("doc_id"), "doc_id", "terms").limit(most).toArrow()
         values, ends = part.column("terms").combine_chunks(), part.column("doc_id").to_pylist()
         flat, cuts = values.flatten().to_numpy(), np.cumsum([0, *(len(x) for x in values)])
-        got += sorted(((i, tuple(flat[a:b].tolist()), label) for i, a, b in zip(ends, cuts[:-1], cuts[1:])), key=lambda r: (xxhash.xxh64_intdigest(str(r[0])), r[1]))
+        got += sorted(((i, flat[a:b].astype(np.int64), label) for i, a, b in zip(ends, cuts[:-1], cuts[1:])), key=lambda r: (xxhash.xxh64_intdigest(str(r[0])), r[1].tobytes()))
     y = np.array([r[2] for r in got], bool)
     if not len(y) or y.all() or not y.any():
         share = float(np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6))
         return Machine({}, float(np.log(share / (1 - share))), np.zeros(1), np.zeros((1, 1)))
     held_back = np.array([xxhash.xxh64_intdigest(str(r[0]), 1) % 5 == 0 for r in got])
-    place = chosen_terms([np.array(r[1], np.int64) for r, h in zip(got, held_back) if not h], y[~held_back], most_terms, least_z)
-    rows = [[place[t] for t in r[1] if t in place] for r in got]
+    place = chosen_terms([r[1] for r, h in zip(got, held_back) if not h], y[~held_back], most_terms, least_z)
+    rows = [[place[t] for t in r[1].tolist() if t in place] for r in got]
     machine = train([r for r, h in zip(rows, held_back) if not h], y[~held_back], max(1, len(place)), place)
     calibrate(machine, [r for r, h in zip(rows, held_back) if h], y[held_back])
     return machine
