@@ -266,17 +266,19 @@ class Labeller:
         return out
 
 
-def chosen(rows: DataFrame, per_language: int, most_rows: int, most_bytes: int, salts: int = 64) -> DataFrame:
-    """h, lang and place of the rows to learn from: narrow, at most most_rows.
+def chosen(rows: DataFrame, per_language: int, most_rows: int, most_bytes: int) -> DataFrame:
+    """h and lang of the rows to learn from: those of each language whose hashes are lowest, at most most_rows in all.
 
-    Ranks are taken over ids, first in parts of a language, then over what the parts leave; no text is moved for that.
-    A row counts while those before it in its language have under most_bytes of text, and if it has no more itself.
+    Hashes are spread evenly, so of a language with many rows only those in a low enough part of their range are ranked,
+    about four times as many as are wanted: no text is moved, and few rows meet in a language's rank.  Equal rows count
+    once, also in what is known of a language's size.  A row counts while those before it in its language have under most_bytes of text, and if it has no more itself.
     """
-    part = Window.partitionBy("lang", F.pmod("h", F.lit(salts))).orderBy("h")
-    whole = Window.partitionBy("lang").orderBy("h")
     narrow = rows.select("h", "lang", F.octet_length("text").alias("n")).where(F.col("n") <= most_bytes)
-    first = narrow.withColumn("place", F.row_number().over(part)).where(F.col("place") <= per_language)
-    first = first.withColumn("place", F.row_number().over(whole)).where(F.col("place") <= per_language)
+    counts = narrow.groupBy(F.col("lang").alias("l")).agg(F.approx_count_distinct("h").alias("rows")).orderBy(F.desc("rows"), "l").limit(most_rows)
+    low = (F.col("h") / float(1 << 64) + 0.5) * F.col("rows") < 4.0 * per_language
+    few = narrow.join(F.broadcast(counts), F.col("lang") == F.col("l")).where(low | (F.col("rows") <= 4 * per_language)).select("h", "lang", "n").distinct()
+    whole = Window.partitionBy("lang").orderBy("h")
+    first = few.withColumn("place", F.row_number().over(whole)).where(F.col("place") <= per_language)
     first = first.withColumn("before", F.sum("n").over(whole.rowsBetween(Window.unboundedPreceding, -1))).where(F.coalesce("before", F.lit(0)) < most_bytes)
     return first.orderBy("place", "lang").limit(most_rows).select("h", "lang")
 
@@ -288,7 +290,7 @@ def fit(docs: DataFrame, per_language: int = 400, most_rows: int = 20_000, most_
     most_rows / per_language languages that are learned in full.
     """
     rows = docs.where((fold(F.col("doc_id"), 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.xxhash64("doc_id", "lang", "text").alias("h"), "lang", "text")
-    keys = F.broadcast(chosen(rows, per_language, most_rows, most_bytes).distinct().withColumnsRenamed({"h": "k", "lang": "l"}))
+    keys = F.broadcast(chosen(rows, per_language, most_rows, most_bytes).withColumnsRenamed({"h": "k", "lang": "l"}))
     got = rows.join(keys, (F.col("h") == F.col("k")) & (F.col("lang") == F.col("l")), "left_semi").dropDuplicates(["h", "lang"])
     return train(sorted((r.text, r.lang) for r in got.select("text", "lang").collect()))
 

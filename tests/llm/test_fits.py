@@ -25,7 +25,7 @@ def test_sample_is_bounded_and_the_same_for_any_partitioning(spark):
     from pyspark.sql import functions as F
 
     frame = spark.createDataFrame(rows, DOCS).select(F.xxhash64("doc_id", "lang", "text").alias("h"), "lang", "text")
-    got = [sorted(tuple(r) for r in language.chosen(f, 40, 1000, 3000).collect()) for f in (frame.repartition(7), frame.coalesce(1))]
+    got = [sorted((r.h, r.lang) for r in language.chosen(f, 40, 1000, 3000).collect()) for f in (frame.repartition(7), frame.coalesce(1))]
     assert got[0] == got[1]
     size = {h: n for h, n in frame.select("h", F.octet_length("text")).collect()}
     for lang in ("aa", "bb", "cc"):
