@@ -32,7 +32,7 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def blocks(spark: SparkSession, d: str) -> DataFrame:
-    return blocks_source.from_documents(table(spark, d, "documents"))
+    return blocks_source.from_documents(blocks_source.spread(table(spark, d, "documents")))
 
 
 def text_blocks(spark: SparkSession, d: str) -> DataFrame:
@@ -171,7 +171,7 @@ def tfidf_weights(spark, d):
 
 @query
 def tfidf_cosine_top5(spark, d):
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("segment_id"), F.col("text").alias("body_text"))
+    docs = blocks_source.spread(table(spark, d, "documents").select(F.col("doc_id").alias("segment_id"), F.col("text").alias("body_text")))
     s = concepts.semantic_links(docs, concept_table(spark, d))
     return s.select(F.col("segment_id").alias("doc_id"), "concept_id", F.round("confidence", 6).alias("confidence"))
 
@@ -405,7 +405,7 @@ def variable_overlap_top3(spark, d):
 
 @query
 def phrase_match(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = blocks_source.spread(table(spark, d, "documents").select("doc_id", "text"))
     return concepts.phrase_hits(docs, concept_table(spark, d).select("concept_id", "name"), "doc_id", "text", "name").select("doc_id", "concept_id").distinct()
 
 

@@ -13,6 +13,20 @@ BLOCKS = (
 LINES_PER_PAGE = 5
 
 
+#: Tables under this many bytes are dealt to all cores where they come in fewer parts.
+SMALL_TABLE = 256 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small table that is read in fewer parts than there are cores, dealt to all of them; any other as it is.
+
+    One file of one row group is one task however long its rows take.  What is moved is bounded by SMALL_TABLE.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < SMALL_TABLE and df.rdd.getNumPartitions() < cores else df
+
+
 def from_documents(docs: DataFrame, lines_per_page: int = LINES_PER_PAGE) -> DataFrame:
     """Each document as a book of its own: its lines are blocks, a fixed number of lines a page.
 
