@@ -10,12 +10,15 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagewright.sources.blocks import spread
+
 #: The bytes that end a word are what bytes.split() splits on, 0x20 and 0x09-0x0D.
 SPACES = b" \t\n\x0b\x0c\r"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table, dealt to all cores where it is small and comes in few parts."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def fold(doc_id: Column, n: int) -> Column:
