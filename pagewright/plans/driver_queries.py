@@ -349,9 +349,9 @@ def split_numbered(spark, d):
 
 @query
 def question_parts(spark, d):
-    """Choices and subparts of lines made of the first four words of a turn."""
+    """Choices and subparts of lines made of the first four words of a turn, x for words without plain letters."""
     w = F.transform(F.slice(words(F.lower(F.coalesce("text", F.lit("")))), 1, 4), lambda x: F.regexp_replace(x, "[^a-z]", ""))
-    at = lambda k: F.coalesce(F.try_element_at("w", F.lit(k)), F.lit(""))
+    at = lambda k: F.coalesce(F.nullif(F.try_element_at("w", F.lit(k)), F.lit("")), F.lit("x"))
     t = table(spark, d, "conversations").select("conv_id", "turn", w.alias("w")).select("conv_id", "turn", F.concat(F.lit("A. "), at(1), F.lit(" B. "), at(2), F.lit(" (a) "), at(3), F.lit(" (b) "), at(4)).alias("text"))
     return t.select("conv_id", "turn", F.array_join(bt.choices(F.col("text")), "|").alias("choices"), F.array_join(F.transform(bt.subparts(F.col("text")), lambda p: F.concat(p["label"], F.lit("="), p["text"])), "|").alias("subparts"))
 

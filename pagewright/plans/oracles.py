@@ -101,7 +101,7 @@ SELECT book_id, block_idx, {KEY.format('s')} AS canonical_key, CASE WHEN labelle
 regexp_full_match(t, '\\(?\\d+(\\.\\d+)+[a-z]?\\)?') OR regexp_matches(t, '(?i)\\b(eq|equation)\\.?\\s*\\d+(\\.\\d+)+') AS is_label, regexp_full_match(m, '{ONE}') OR regexp_full_match(m, '{ONE}[/×*]{ONE}') OR (contains(m, '=') AND regexp_full_match(l, '{ONE}') AND NOT regexp_matches(r, '(?i)log|ln|exp|sqrt|sin|cos|tan|∫|∑') AND len(regexp_extract_all(r, '[+\\-*/]')) <= 3) AS is_simple FROM f""",
     "reference_markers": """WITH x AS (SELECT conv_id, turn, coalesce(text, '') || ' See Table ' || (turn + 1) || '.' || conv_id % 10 || ' and Appendix B; section 4.' || turn || 'b' AS t FROM conversations), m AS (SELECT conv_id, turn, list_concat(regexp_extract_all(t, '(?i)\\b(Table|Figure|Appendix|Exhibit|Section|Chapter)\\s+([A-Za-z]?\\d+(?:\\.\\d+)*[a-z]?)', 1), regexp_extract_all(t, '(?i)\\b(Appendix)\\s+([A-Z])\\b', 1)) AS a, list_concat(regexp_extract_all(t, '(?i)\\b(Table|Figure|Appendix|Exhibit|Section|Chapter)\\s+([A-Za-z]?\\d+(?:\\.\\d+)*[a-z]?)', 2), regexp_extract_all(t, '(?i)\\b(Appendix)\\s+([A-Z])\\b', 2)) AS b FROM x) SELECT conv_id, turn, CAST(unnest(range(len(a))) AS INT) AS nth, lower(unnest(a)) AS ref_type, unnest(b) AS ref_id FROM m""",
     "split_numbered": f"""WITH {TRANSCRIPTS}, y AS (SELECT conv_id, list_transform(string_split(t, chr(10)), lambda z: {TRIM.format('z')}) AS l FROM x), z AS (SELECT conv_id, unnest(range(1, len(l) + 1)) AS k, l FROM y), f AS (SELECT conv_id, k, l[k] AS line, regexp_matches(array_to_string(l[k:], chr(10)), '^\\d+\\s*[.)]\\s+') AS opens FROM z), g AS (SELECT *, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY k) AS part FROM f), h AS (SELECT conv_id, part, {TRIM.format("string_agg(line, chr(10) ORDER BY k)")} AS chunk FROM g WHERE part > 0 GROUP BY conv_id, part) SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY part) - 1 AS INT) AS nth, chunk FROM h WHERE chunk <> ''""",
-    "question_parts": f"""WITH x AS (SELECT conv_id, turn, list_transform(list_slice({WORDS.format("lower(coalesce(text, ''))")}, 1, 4), lambda z: regexp_replace(z, '[^a-z]', '', 'g')) AS w FROM conversations), y AS (SELECT conv_id, turn, 'A. ' || coalesce(w[1], '') || ' B. ' || coalesce(w[2], '') || ' (a) ' || coalesce(w[3], '') || ' (b) ' || coalesce(w[4], '') AS t FROM x),
+    "question_parts": f"""WITH x AS (SELECT conv_id, turn, list_transform(list_slice({WORDS.format("lower(coalesce(text, ''))")}, 1, 4), lambda z: regexp_replace(z, '[^a-z]', '', 'g')) AS w FROM conversations), y AS (SELECT conv_id, turn, 'A. ' || coalesce(nullif(w[1], ''), 'x') || ' B. ' || coalesce(nullif(w[2], ''), 'x') || ' (a) ' || coalesce(nullif(w[3], ''), 'x') || ' (b) ' || coalesce(nullif(w[4], ''), 'x') AS t FROM x),
 z AS (SELECT conv_id, turn, regexp_extract_all(t, '([A-D])\\.', 1) AS cl, string_split_regex(t, '[A-D]\\.') AS cp, regexp_extract_all(t, '\\(([a-z])\\)', 1) AS sl, string_split_regex(t, '\\([a-z]\\)') AS sp FROM y) SELECT conv_id, turn, array_to_string(list_transform(range(1, len(cl) + 1), lambda i: cl[i] || '. ' || {TRIM.format('cp[i + 1]')}), '|') AS choices, array_to_string(list_transform(range(1, len(sl) + 1), lambda i: sl[i] || '=' || {TRIM.format('sp[i + 1]')}), '|') AS subparts FROM z""",
     "parse_pages": """WITH x AS (SELECT l_orderkey, l_linenumber, l_linenumber || '-' || (l_linenumber + l_partkey % 4 - 1) || ', ' || l_suppkey % 7 || '; p. ' || l_linenumber AS t FROM lineitem), y AS (SELECT l_orderkey, l_linenumber, list_transform(string_split_regex(t, '[;,]'), lambda p: trim(p)) AS a FROM x) SELECT l_orderkey, l_linenumber, array_to_string(list_sort(list_distinct(flatten(list_transform(a, lambda p: CASE WHEN contains(p, '-') THEN range(CAST(split_part(p, '-', 1) AS BIGINT), CAST(split_part(p, '-', 2) AS BIGINT) + 1) ELSE list_transform(regexp_extract_all(p, '\\d+'), lambda n: CAST(n AS BIGINT)) END)))), ',') AS pages FROM y""",
     "ref_keys": f"""WITH {NUMBERED}, n AS (SELECT *, regexp_replace(regexp_replace(trim(number), '^\\s*[Qq]\\s*', ''), '[() ]', '', 'g') AS b, CASE WHEN chapter IS NULL OR chapter = 'Unknown' THEN NULL ELSE split_part(chapter, '.', 1) END AS main, {CUED.format('text')} AS cued FROM t), m AS (SELECT *, lower(CASE WHEN regexp_full_match(b, '(?i)\\d+(\\.\\d+)*[a-z]?') THEN b WHEN regexp_matches(b, '\\d') THEN regexp_replace(regexp_extract(b, '(?i)(\\d+\\s*[a-z]?)', 1), '\\s', '', 'g') ELSE b END) AS normal FROM n)
