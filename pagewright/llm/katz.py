@@ -307,19 +307,23 @@ def merge_grams(n: int, buckets: int):
         bucket, numbers = table.column("bucket")[0].as_py(), table.column("block").to_pylist()
         parts = [unpacked(x, np.int64, np.int64, np.int32, np.uint32, np.int64, np.uint8) for x in table.column("blob").to_pylist()]
         cuts = np.cumsum([0, *(len(p[4]) for p in parts)])
-        own_names = [np.cumsum(p[0]) for p in parts]
-        names = np.unique(np.concatenate(own_names))
+        names = np.unique(np.concatenate([np.cumsum(p[0]) for p in parts]))
         last = np.zeros(len(names), np.int64)
-        columns = np.empty((n, cuts[-1]), np.int64)
-        for p, own, a, b in zip(parts, own_names, cuts[:-1], cuts[1:]):
-            place = np.searchsorted(names, own)
-            last[place] = p[1]
-            columns[0, a:b] = place[np.cumsum(p[2], dtype=np.int64)]
-            columns[1:, a:b] = place[p[3].reshape(n - 1, -1)]
-        first, back = distinct(list(columns), len(names))
-        counts = added(back, np.concatenate([p[4] for p in parts]), len(first))
-        split = np.concatenate([np.unpackbits(p[5], count=len(p[4])) for p in parts]).astype(bool)[first]
-        grams = Grams(names, last, [c[first] for c in columns], counts, split)
+        columns = [np.empty(cuts[-1], np.int32 if len(names) < 1 << 31 else np.int64) for _ in range(n)]
+        counted, split = np.empty(cuts[-1], np.int64), np.empty(cuts[-1], bool)
+        for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+            own, counts_of, first_word, others, count, flags = parts[k]
+            parts[k] = None  # each is let go as soon as it has been read
+            place = np.searchsorted(names, np.cumsum(own))
+            last[place] = counts_of
+            columns[0][a:b] = place[np.cumsum(first_word, dtype=np.int64)]
+            for column, x in zip(columns[1:], others.reshape(n - 1, -1)):
+                column[a:b] = place[x]
+            counted[a:b], split[a:b] = count, np.unpackbits(flags, count=b - a)
+        first, back = distinct(columns, len(names))
+        counts, split = added(back, counted, len(first)), split[first]
+        columns = [c[first].astype(np.int64) for c in columns]
+        grams = Grams(names, last, columns, counts, split)
         found = []
         for k in range(2, n + 1):
             at, _, c = grams.pairs(k)
@@ -371,8 +375,8 @@ def summed(of: np.ndarray, counts: np.ndarray, lower: np.ndarray, contexts: int)
     return added(of, counts, contexts), few, np.bincount(of, np.where(counts > 0, lower, 0.0), contexts)
 
 
-def evaluated(g: Grams, totals: list[Totals], pairs: dict, words: dict) -> np.ndarray:
-    """The probability of each n-gram. pairs: counts of (word, word) for split words; words: their totals."""
+def evaluated(g: Grams, totals: list[Totals], pairs: list[np.ndarray], words: dict) -> np.ndarray:
+    """The probability of each n-gram. pairs: words, words behind them and counts, for split words; words: their totals."""
     p = unigram(g.last[g.columns[-1]], totals[0])
     unknown = np.array([totals[0].left if totals[0].tokens else 1.0])  # of each context of the order below
     below = np.zeros(len(g.counts), np.int64)
@@ -383,8 +387,9 @@ def evaluated(g: Grams, totals: list[Totals], pairs: dict, words: dict) -> np.nd
         of, lower = context[first], p[first]
         if k == 2 and pairs:
             at = np.flatnonzero(g.split[first])
-            v, w = (g.names[g.columns[c][first[at]]].tolist() for c in (0, -1))
-            counts[at] = [pairs[x] for x in zip(v, w)]
+            keys = np.searchsorted(g.names, pairs[0]) * len(g.names) + np.searchsorted(g.names, pairs[1])
+            order = np.argsort(keys)
+            counts[at] = pairs[2][order[np.searchsorted(keys, g.columns[0][first[at]] * len(g.names) + g.columns[-1][first[at]], sorter=order)]]
         total, few, mass = summed(of, counts, lower, len(heads))
         if k == 2 and words:
             for h in np.flatnonzero(g.split[heads]):
@@ -423,12 +428,9 @@ def filed_rows(folder: str, files: int, key: str, value: int) -> pa.Table:
 def answer_grams(n: int, totals: list[Totals], words: dict, folder: str | None, files: int):
     """For each block the probabilities of what it asked for. Columns: bucket, block (where the lists end), blob."""
 
-    def pairs(bucket: int) -> dict:
-        known: dict = {}
-        for x in filed_rows(folder, files, "bucket", bucket).column("blob").to_pylist() if folder else ():
-            v, w, c = unpacked(x, *[np.int64] * 3)
-            known.update(zip(zip(v.tolist(), w.tolist()), c.tolist()))
-        return known
+    def pairs(bucket: int) -> list[np.ndarray]:
+        found = [unpacked(x, *[np.int64] * 3) for x in filed_rows(folder, files, "bucket", bucket).column("blob").to_pylist()] if folder else []
+        return [np.concatenate(x) for x in zip(*found)]
 
     def run(batches):
         for batch in batches:
@@ -496,7 +498,7 @@ def split_totals(rows: DataFrame) -> dict:
     return out
 
 
-def score(docs: DataFrame, order: int = 2, folds: int = 7, left_out: int = 2, block_bytes: int = 6_000_000, bucket_bytes: int = 8_000_000, hot: int = 2_000_000) -> DataFrame:
+def score(docs: DataFrame, order: int = 2, folds: int = 7, left_out: int = 2, block_bytes: int = 6_000_000, bucket_bytes: int = 7_000_000, hot: int = 500_000) -> DataFrame:
     """Score every whole text by a model of that order, learned from all texts outside the fold left out."""
     source = blocks(docs, block_bytes, numbered(folds, left_out), ("blob", "words"))
     size = source.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
