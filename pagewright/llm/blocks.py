@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import stored
+from pagewright.llm.common import give_back, stored
 
 #: What stands for a null doc_id inside blocks: it sorts first.
 NO_ID = -(1 << 63)
@@ -84,6 +84,7 @@ def blocks(docs: DataFrame, block_bytes: int = 4_000_000, pack=whole_texts, colu
                 if size and size + len(text) > block_bytes:
                     yield close()
                     number, ids, texts, size = number + 1, [], [], 0
+                    give_back()
                 ids.append(NO_ID if i is None else i)
                 texts.append(text)
                 size += len(text)

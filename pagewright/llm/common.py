@@ -65,6 +65,19 @@ def bounded_sample(keys: DataFrame, most: int) -> DataFrame:
     return F.broadcast(keys.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
 
 
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system: workers are reused, and hold the most they ever took."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library: it keeps what it has
+        pass
+
+
 class Memo(dict):
     """Values computed on first use; emptied between batches when it has grown beyond `most` keys."""
 

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm.blocks import NO_ID, blocks, dealt, id_array, packed, unpacked
-from pagewright.llm.common import stored, work_folder
+from pagewright.llm.common import give_back, stored, work_folder
 
 #: Counts up to DISCOUNTED are discounted.
 DISCOUNTED = 5
@@ -296,6 +296,8 @@ def ask_grams(n: int, buckets: int, hot: int, folder: str, files: int):
                 answers = filed_rows(folder, files, "block", number)
                 rows = list(Asked(Tokens.read(blob), answers, n, buckets, hot).requests(buckets))
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([number] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "block", "blob"])
+                del answers, rows
+                give_back()
 
     return run
 
@@ -304,6 +306,7 @@ def merge_grams(n: int, buckets: int):
     """One row with a partition's n-grams and which of them each block asked for; its counts of counts; pairs of split words."""
 
     def run(table: pa.Table) -> pa.Table:
+        give_back()
         bucket, numbers = table.column("bucket")[0].as_py(), table.column("block").to_pylist()
         parts = [unpacked(x, np.int64, np.int64, np.int32, np.uint32, np.int64, np.uint8) for x in table.column("blob").to_pylist()]
         cuts = np.cumsum([0, *(len(p[4]) for p in parts)])
@@ -446,6 +449,8 @@ def answer_grams(n: int, totals: list[Totals], words: dict, folder: str | None,
                     values, which = np.unique(p[np.cumsum(lists[at : at + size])], return_inverse=True)
                     rows.append(packed(values, which.astype(np.uint32)))
                     at += size
+                del p, known
+                give_back()
                 m = len(rows)
                 yield pa.RecordBatch.from_arrays([pa.array([GRAMS] * m, pa.int32()), pa.array(numbers), pa.array([bucket] * m, pa.int64()), pa.array(rows, pa.binary())], ["kind", "block", "bucket", "blob"])
 
@@ -472,6 +477,7 @@ def scores(n: int, totals: list[Totals], buckets: int, hot: int):
     """The rows of a block's documents."""
 
     def run(key, own: pa.Table, answers: pa.Table) -> pa.Table:
+        give_back()
         parts = []
         for blob in own.column("blob").to_pylist():
             e = Asked(Tokens.read(blob), answers, n, buckets, hot)
