@@ -1,7 +1,12 @@
 """The corpus pipeline: quality rules, near duplicates, benchmark passages, secrets, encoding.
 
 Each stage takes the documents that the one before kept and returns a DataFrame, which is written as Parquet and
-read again as the next stage's documents.  All but the last return the columns of documents.
+read again as the next stage's documents.  All but the last return the columns of documents, whatever these are called.
+
+Null and empty texts fail the base rules, so the first stage rejects them; given to a later stage they are one text
+without words (one of them stays), hold no item and no secret, and encode to nothing.  Null ids sort last where the least
+id stays; rows that share an id or have none are told apart by their texts.  Empty tables give empty results, and a
+stage without labels or items leaves its decisions to the base rules, or removes nothing.
 """
 
 from __future__ import annotations
@@ -19,7 +24,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of texts with a Jaccard similarity of 0.8 or more the document with the least doc_id stays."""
+    """Of each component of texts with a Jaccard similarity of 0.8 or more the document with the least doc_id stays.
+
+    The SimHash operator's anchors on five-word fingerprints give candidates, and MinHash bands those beyond its reach.
+    """
     return near_copies.representatives(docs)
 
 
