@@ -1,10 +1,11 @@
 """Quality rules: isolation forests over rule statistics, thresholds calibrated from labelled rows.
 
-Statistics of the whole text are computed in one pass over its bytes.  Random trees are grown on a
-bounded sample of labelled documents, one forest on statistics of characters and one on repeats; a
-document's mean path length gives its anomaly score.  Each forest's threshold is set on labelled rows,
-scored by the trees that did not see them: above it more bad rows than good ones lie, and hardly any
-good row.  Where no threshold does that (repeats that are as common in good rows), the forest has none.
+Statistics of the whole text are computed in one pass over its bytes.  Isolation trees are small by definition:
+each is grown on a few rows of its own, drawn from all labelled documents.  One forest is on statistics of
+characters and one on repeats; a document's mean path length gives its anomaly score.  Each forest's threshold
+is set on all labelled rows, scored by the trees that did not see them: above it more bad rows than good ones
+lie, and hardly any good row.  Where no threshold does that (repeats that are as common in good rows), the
+forest has none.
 
 Nulls, empty texts: all counts are 0, base_failed is true (fewer than 50 words), kept false.
 Repeated rows give repeated results; an empty table gives an empty result; without labelled rows of
@@ -19,10 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import SPACES, bounded_sample, latest_labels
+from pagewright.llm.common import SPACES, give_back, stored
+from pagewright.sources.blocks import spread
 
 #: Fixed values of the contract.
 SYMBOLS = b"#*$%&|<>"
@@ -33,6 +35,8 @@ UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 FEATURES = 5
 #: What each forest sees.
 CHARACTERS, REPEATS = (0, 1, 2), (3, 4)
+#: Scores have 9 digits, so they are counted as whole numbers; a bin holds 2^15 of them, and there are 30,518 bins.
+UNIT, BIN = 10**9, 2**15
 SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, anomaly double"
 
 
@@ -94,16 +98,16 @@ class Forest:
     threshold: float = np.inf
 
     @classmethod
-    def grow(cls, x: np.ndarray, trees: int, rows: int, seed: int, columns: tuple[int, ...] = CHARACTERS) -> tuple[Forest, np.ndarray]:
-        """The forest on these columns, and which rows each tree has seen: at most half of them."""
+    def grow(cls, x: np.ndarray, trees: int, rows: int, seed: int, columns: tuple[int, ...] = CHARACTERS, bags: np.ndarray | None = None) -> tuple[Forest, np.ndarray]:
+        """The forest on these columns, and which rows each tree has seen: at most half of them, or those that bags marks."""
         rng = np.random.default_rng(seed)
-        rows, x = min(rows, -(-len(x) // 2)), x[:, columns]
+        rows, x = min(rows, -(-len(x) // 2)) if bags is None else rows, x[:, columns]
         seen = np.zeros((trees, len(x)), bool)
         depth = max(1, int(np.ceil(np.log2(max(rows, 2)))))
         feature = np.full((trees, 2 ** (depth + 1) - 1), -1, np.int32)
         value = np.zeros(feature.shape)
         for t in range(trees):
-            bag = rng.choice(len(x), rows, replace=False)
+            bag = rng.choice(len(x), rows, replace=False) if bags is None else np.flatnonzero(bags[t])
             seen[t, bag] = True
             todo = [(0, 0, x[bag])]
             while todo:
@@ -166,38 +170,126 @@ def rejected(forests: list[Forest], x: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (scores >= np.array([f.threshold for f in forests])[:, None]).any(0), scores.max(0, initial=0.0)
 
 
+def thresholds(counts: DataFrame, most_good_lost: float) -> dict[int, float]:
+    """What calibrated() gives for each forest, from its good and bad rows by score: (forest, score, good, bad), scores as whole numbers.
+
+    Rows stay where they are: the driver adds up bins, each bin runs on from there, and no bin has more than BIN scores.
+    """
+    inside = F.floor(F.col("score") / BIN).cast("long")
+    bins = counts.groupBy("forest", inside.alias("bin")).agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).collect()
+    before = []
+    for k in sorted({b.forest for b in bins}):
+        lost, caught, most = 0, 0, int(most_good_lost * sum(b.good for b in bins if b.forest == k))
+        for b in sorted((b for b in bins if b.forest == k), key=lambda b: -b.bin):
+            # elsewhere too many good rows lie above, or no bad row that could outnumber them ends here
+            if lost <= most and b.bad and caught + b.bad > lost:
+                before.append((k, b.bin, lost, caught, most))
+            lost, caught = lost + b.good, caught + b.bad
+    if not before:
+        return {}
+    offsets = counts.sparkSession.createDataFrame(before, "forest int, bin long, lost long, caught long, most long")
+    above = Window.partitionBy("forest", "bin").orderBy(F.desc("score"))
+    ends = counts.withColumn("bin", inside).join(F.broadcast(offsets), ["forest", "bin"])
+    ends = ends.select("forest", "score", "most", (F.col("lost") + F.sum("good").over(above)).alias("lost"), (F.col("caught") + F.sum("bad").over(above)).alias("caught"))
+    best = ends.where("lost <= most and caught > lost").groupBy("forest").agg(F.max(F.struct("caught", "score")).alias("best")).select("forest", "best.score").collect()
+    if not best:
+        return {}
+    lower = F.lit(False)
+    for k, score in best:
+        lower |= (F.col("forest") == k) & (F.col("score") < score)
+    below = dict(counts.where(lower).groupBy("forest").agg(F.max("score")).collect())
+    return {k: (score + below.get(k, 0)) / 2 / UNIT for k, score in best}
+
+
 def _features(batches):
     for batch in batches:
-        out = [(i, statistics(t or b""), y) for i, t, y in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "label")))]
-        out = [(i, f, y) for i, (counts, f), y in out if not base_fails(counts[0], counts[4])]
-        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.list_(pa.float64()), pa.int32()))], ["doc_id", "features", "label"])
+        out = [(i, statistics(t or b"")) for i, t in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text")))]
+        out = [(i, f) for i, (counts, f) in out if not base_fails(counts[0], counts[4])]
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.list_(pa.float64())))], ["doc_id", "features"])
+    give_back()
+
+
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, features and bad of all labelled rows that pass the base rules (the others are rejected anyway, and teach nothing).
+
+    Statistics, not texts, are moved to the labels.  Rows that repeat are numbered, so each has a key of its own; of an
+    id's labels, which have no features, the largest is number 1.  One exchange and one sort serve both windows.
+    """
+    known = labels.where("doc_id is not null and quality is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("label"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).where("doc_id is not null")
+    rows = rows.mapInArrow(_features, "doc_id long, features array<double>").unionByName(known, allowMissingColumns=True).repartition("doc_id")
+    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", "features").orderBy(F.desc("label")))).where("features is not null or copy = 1")
+    rows = rows.withColumn("label", F.max("label").over(Window.partitionBy("doc_id"))).where("features is not null and label is not null")
+    return rows.select(F.xxhash64("doc_id", "features", "copy").alias("key"), "features", (F.col("label").cast("int") < 1).alias("bad"))
+
+
+def arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, features and bad of a batch of labelled()."""
+    keys, bad = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "bad"))
+    return keys.view(np.uint64), batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(-1, FEATURES), bad
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, trees: int = 150, rows_per_tree: int = 256, share_bad: float = 0.02, most_good_lost: float = 0.002, seed: int = 7) -> list[Forest] | None:
-    """Grow and calibrate the forests on at most sample_rows labelled rows (those whose ids hash lowest); None without any.
+def places(keys: np.ndarray, bad: np.ndarray, weight: float, tree: int) -> np.ndarray:
+    """Where each row stands in a tree's draw, from 0; the lowest are drawn.  Bad rows have a chance of weight to one.
 
-    Trees isolate what is rare, so of the bad rows only share_bad times the good ones are shown to them: enough to
-    widen the range of each statistic, too few to form a cluster of their own.  Calibration uses all sampled rows.
-    Labelled rows that fail the base rules teach nothing: the base rules reject such rows anyway.
+    Hashes of a row's key and the tree (SplitMix64): the same for any partitioning.
     """
-    chosen = bounded_sample(latest_labels(labels, "quality"), sample_rows)
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(chosen, "doc_id").select("doc_id", "text", F.col("label").cast("int").alias("label"))
-    # ids may repeat among documents: the bound holds before rows reach the driver
-    got = rows.mapInArrow(_features, "doc_id long, features array<double>, label int").orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(sample_rows).toArrow().to_pydict()
-    if not got["doc_id"]:
+    z = keys + np.uint64((tree + 1) * 0x9E3779B97F4A7C15 % 2**64)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (z ^ (z >> np.uint64(31))) / 2.0**64 / np.where(bad, weight, 1.0)
+
+
+def fit(docs: DataFrame, labels: DataFrame, trees: int = 150, rows_per_tree: int = 256, share_bad: float = 0.02, most_good_lost: float = 0.002, seed: int = 7) -> list[Forest] | None:
+    """Grow and calibrate the forests on all labelled rows; None without any.
+
+    Each tree draws its rows_per_tree rows from all labelled rows, at most half of them.  Trees isolate what is rare, so
+    bad rows are drawn as if they were share_bad times the good ones: enough to widen the range of each statistic, too
+    few to form a cluster of their own.  Thresholds count every labelled row.  The driver gets only rows that stand low
+    in some tree's draw, fewer than 2 * trees * rows_per_tree for the defaults, and counts.
+    """
+    rows = spread(stored(labelled(docs, labels), "quality"))
+    size = {r.bad: r.n for r in rows.groupBy("bad").agg(F.count("*").alias("n")).collect()}
+    if not size:
         return None
-    x, bad = np.array(got["features"]), np.array(got["label"]) < 1
-    if bad.all() or not bad.any():
+    if len(size) < 2:
         return []
-    shown = ~bad | (np.cumsum(bad) <= max(1, share_bad * (~bad).sum()))
-    out = []
-    for columns in (CHARACTERS, REPEATS):
-        forest, bags = Forest.grow(x[shown], trees, rows_per_tree, seed, columns)
-        seen = np.zeros((trees, len(x)), bool)
-        seen[:, shown] = bags
-        forest.threshold = calibrated(forest.scores(x, seen), bad, most_good_lost)
-        out.append(forest)
-    return out
+    weight = min(1.0, max(1.0, share_bad * size[False]) / size[True])
+    chances = size[False] + weight * size[True]
+    per_tree = min(rows_per_tree, int(-(-chances // 2)))
+    draws = range(seed * trees, (seed + 1) * trees)
+    # so many rows are expected below it that fewer than per_tree do not occur
+    low = (per_tree + 12 * per_tree**0.5 + 30) / chances
+
+    def lowest(batches):
+        for batch in batches:
+            keys, _, bad = arrays(batch)
+            chosen = np.zeros(len(keys), bool)
+            for t in draws:
+                chosen |= places(keys, bad, weight, t) < low
+            yield batch.filter(pa.array(chosen))
+
+    keys, x, bad = arrays(rows.mapInArrow(lowest, rows.schema).toArrow().combine_chunks().to_batches()[0])
+    cuts, bags = np.zeros(trees), np.zeros((trees, len(keys)), bool)
+    for t, draw in enumerate(draws):
+        p = places(keys, bad, weight, draw)
+        cuts[t] = np.partition(p, per_tree - 1)[per_tree - 1]
+        bags[t] = p <= cuts[t]
+    forests = [Forest.grow(x, trees, per_tree, seed, columns, bags)[0] for columns in (CHARACTERS, REPEATS)]
+
+    def score(batches):
+        for batch in batches:
+            keys, x, bad = arrays(batch)
+            seen = np.array([places(keys, bad, weight, draw) <= cut for draw, cut in zip(draws, cuts)])
+            for k, forest in enumerate(forests):
+                s = np.rint(forest.scores(x, seen) * UNIT).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), k, np.int32)), pa.array(s), pa.array(bad)], ["forest", "score", "bad"])
+
+    is_bad = F.col("bad").cast("long")
+    counts = rows.mapInArrow(score, "forest int, score long, bad boolean").groupBy("forest", "score").agg(F.sum(1 - is_bad).alias("good"), F.sum(is_bad).alias("bad"))
+    for k, threshold in thresholds(stored(counts, "quality-scores"), most_good_lost).items():
+        forests[k].threshold = threshold
+    return forests
 
 
 def verdicts(texts: list[bytes | None], forests: list[Forest] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

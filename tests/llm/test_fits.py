@@ -146,3 +146,56 @@ def test_repeated_labelled_ids_stay_within_the_bound(spark):
     finally:
         toxicity.train = real
     assert not seen or seen[0] <= 80
+
+
+def test_labelled_rows_beyond_a_sample_teach(spark):
+    from tests.llm.test_operators import docs, labels, prose
+
+    # the only bad rows are those whose ids hash highest, behind 12,000 good ones
+    rng = random.Random(9)
+    ids = [r.id for r in spark.sql("SELECT id FROM range(12300) ORDER BY xxhash64(id)").collect()]
+    junk = set(ids[12_000:])
+    d = docs(spark, [(i, prose(rng, 60, 9000).replace("w", "w#$" if i in junk else "w")) for i in ids])
+    forests = quality.fit(d, labels(spark, [(i, int(i not in junk), None) for i in ids]))
+    kept = {r.doc_id: r.kept for r in quality.apply(d, forests).collect()}
+    assert not any(kept[i] for i in junk) and sum(kept[i] for i in ids[:12_000]) >= 0.99 * 12_000
+
+
+def test_forests_are_those_of_a_plain_fit_on_all_rows(spark):
+    from tests.llm.test_operators import docs, labels, prose
+
+    rng = random.Random(10)
+    texts = [" ".join(w.upper() if rng.random() < 0.02 + 0.5 * (i % 9 == 0) * rng.random() else w for w in prose(rng, 55, 9000).split()) for i in range(2000)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(7, texts[7])] * 30 + [(9, texts[9])] * 5 + [(None, texts[3]), (11, "too short")]
+    marks = labels(spark, [(i, int(i % 9 != 0), None) for i in range(2000) if i % 4])
+    got = [quality.fit(d, marks, trees=40, rows_per_tree=16) for d in (docs(spark, rows).repartition(7), docs(spark, rows[::-1]).coalesce(1))]
+    known = quality.labelled(docs(spark, rows), marks).collect()
+    assert len(known) == len({r.key for r in known}) == 1500 + 30 + 5
+    keys, x, bad = np.array([r.key for r in known]).view(np.uint64), np.array([r.features for r in known]), np.array([r.bad for r in known])
+    place = np.array([quality.places(keys, bad, 0.02 * (~bad).sum() / bad.sum(), t) for t in range(280, 320)])
+    bags = place <= np.sort(place)[:, 15:16]
+    assert (bags.sum(1) == 16).all() and (bags & bad).any(0).sum() > 5
+    for k, columns in enumerate((quality.CHARACTERS, quality.REPEATS)):
+        plain = quality.Forest.grow(x, 40, 16, 7, columns, bags)[0]
+        threshold = quality.calibrated(plain.scores(x, bags), bad, 0.002)
+        for forests in got:
+            assert (forests[k].feature == plain.feature).all() and (forests[k].value == plain.value).all()
+            assert forests[k].threshold == pytest.approx(threshold, abs=1e-12)
+    assert math.isfinite(got[0][0].threshold)
+
+
+@pytest.mark.parametrize("most", [0.0, 0.01, 0.2, 1.0])
+def test_thresholds_of_counts_are_those_of_all_rows(spark, most):
+    rng = np.random.default_rng(11)
+    cases = []
+    for _ in range(12):
+        n, width = int(rng.integers(1, 1500)), 10.0 ** -int(rng.integers(1, 9))
+        bad = rng.random(n) < rng.choice([0.02, 0.3, 0.6])
+        cases.append((np.round(0.4 + width * (rng.random(n) + 0.5 * bad * rng.random()), 9), bad))
+    # good rows lead and bad ones catch up; the other way round; one score for all
+    cases += [(np.array([0.9, 0.8, 0.7, 0.6, 0.5]), np.array([0, 1, 1, 1, 0]) > 0), (np.array([0.9, 0.8, 0.7, 0.6]), np.array([1, 0, 0, 1]) > 0), (np.zeros(4), np.array([1, 1, 1, 0]) > 0)]
+    rows = [(k, round(s * 1e9), int(not b), int(b)) for k, case in enumerate(cases) for s, b in zip(*(c.tolist() for c in case))]
+    counts = spark.createDataFrame(rows, "forest int, score long, good long, bad long").groupBy("forest", "score").agg({"good": "sum", "bad": "sum"})
+    got = quality.thresholds(counts.selectExpr("forest", "score", "`sum(good)` AS good", "`sum(bad)` AS bad"), most)
+    for k, (scores, bad) in enumerate(cases):
+        assert got.get(k, math.inf) == pytest.approx(quality.calibrated(scores, bad, most), abs=1e-12)
